@@ -15,6 +15,13 @@ from rillwork.llm.common import table
 from rillwork.llm.decontaminate import contamination
 from rillwork.llm.exact_dedup import exact_groups
 from rillwork.llm.line_dedup import dedup_lines
+from rillwork.llm.minhash_dedup import near_duplicates
+from rillwork.llm.suffix_dedup import remove_repeats
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"), length=50)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,12 +38,18 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("__th")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op5_line_dedup,
         op6_decontaminate,
         op7_exact_dedup,
+        op10_minhash_dedup,
     )
 }
 
