@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillwork.llm import langid, toxicity
 from rillwork.llm.common import table
 from rillwork.llm.decontaminate import contamination
 from rillwork.llm.exact_dedup import exact_groups
@@ -24,6 +25,25 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _crc(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = docs.where(_crc(5) != 0).join(labels.select("doc_id", "toxic"), "doc_id").select("text", "toxic")
+    scored = toxicity.score_toxicity(docs, toxicity.train(learn))
+    held_out = F.coalesce(_crc(5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(_crc(3) != 1).select("text", "lang"))
+    held_out = F.coalesce(_crc(3) == 1, F.lit(False))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"), min_docs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -46,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup,
+        op2_toxicity,
+        op3_langid,
         op5_line_dedup,
         op6_decontaminate,
         op7_exact_dedup,
