@@ -11,12 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillwork.llm import langid, toxicity
+from rillwork.llm import langid, mixing, toxicity
 from rillwork.llm.common import table
 from rillwork.llm.decontaminate import contamination
 from rillwork.llm.exact_dedup import exact_groups
+from rillwork.llm.html_extract import main_text
 from rillwork.llm.line_dedup import dedup_lines
 from rillwork.llm.minhash_dedup import near_duplicates
+from rillwork.llm.mixing import production_mixture
+from rillwork.llm.pii import pseudonymise
 from rillwork.llm.suffix_dedup import remove_repeats
 
 
@@ -44,6 +47,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"), min_docs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -58,6 +65,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return production_mixture(table(spark, sf_dir, "documents")).drop("__th")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"), key="rillwork")
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("__th")
 
@@ -68,9 +83,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_suffix_dedup,
         op2_toxicity,
         op3_langid,
+        op4_html_extract,
         op5_line_dedup,
         op6_decontaminate,
         op7_exact_dedup,
+        op8_mix_sources,
+        op9_pii,
         op10_minhash_dedup,
     )
 }
@@ -78,6 +96,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLD = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
 
+
+def _mixing_sql() -> str:
+    """The same tree, budgets and prefixes in SQL, level by level."""
+    case = lambda column, weights: "CASE " + " ".join(f"WHEN {column} = '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 1 END"
+
+    def level(depth: int, path: list[str], weight: str) -> str:
+        keys, parent = ", ".join(path), ", ".join(path[:-1])
+        source = f"(SELECT {keys}, sum(n_tokens) * {mixing.MAX_EPOCHS} AS capacity FROM tokens GROUP BY {keys})"
+        joined = f"{source} JOIN (SELECT {parent}, budget AS parent_budget FROM level{depth - 1}) USING ({parent})" if parent else f"{source}, (SELECT CAST(floor(sum(n_tokens) * {mixing.BUDGET_SHARE}) AS BIGINT) AS parent_budget FROM tokens)"
+        over = f"PARTITION BY {parent} " if parent else ""
+        return f"""nodes{depth} AS (SELECT *, {weight} AS weight FROM {joined}),
+        steps{depth} AS (SELECT *, (parent_budget - coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / CAST(sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS lev
+            FROM nodes{depth} WINDOW w AS ({over}ORDER BY capacity / CAST(weight AS DOUBLE), {keys})),
+        level{depth} AS (SELECT {keys}, greatest(0, least(CAST(capacity AS BIGINT), CAST(floor(weight * max(lev) OVER ({over.strip()})) AS BIGINT))) AS budget FROM steps{depth})"""
+
+    number = "nullif(regexp_extract(source, '([0-9]{1,9})$', 1), '')"
+    domain = f"CASE WHEN {number} IS NULL THEN NULL WHEN CAST({number} AS INT) < 5 THEN 'web' WHEN CAST({number} AS INT) < 10 THEN 'books' WHEN CAST({number} AS INT) < 15 THEN 'forums' ELSE 'news' END"
+    return f"""
+        WITH tokens AS (SELECT doc_id, coalesce({domain}, '(none)') AS domain, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+            CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS BIGINT) AS n_tokens FROM documents),
+        {level(1, ["domain"], case("domain", mixing.DOMAINS))},
+        {level(2, ["domain", "lang"], case("lang", mixing.LANGS))},
+        {level(3, ["domain", "lang", "source"], "1")},
+        leaves AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS leaf FROM tokens GROUP BY ALL),
+        plan AS (SELECT *, CASE WHEN leaf > 0 THEN CAST(budget // leaf AS INT) ELSE 0 END AS whole FROM leaves JOIN level3 USING (domain, lang, source)),
+        placed AS (SELECT tokens.*, whole, budget - whole * leaf AS rest FROM tokens JOIN plan USING (domain, lang, source)),
+        ranked AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source
+            ORDER BY md5(concat_ws(':', '{mixing.SEED}', CAST(whole AS VARCHAR), coalesce(CAST(doc_id AS VARCHAR), ''))), doc_id ROWS UNBOUNDED PRECEDING) AS running FROM placed WHERE rest > 0)
+        SELECT doc_id, domain, lang, source, n_tokens, CAST(unnest(range(whole)) AS INT) AS epoch FROM placed
+        UNION ALL SELECT doc_id, domain, lang, source, n_tokens, whole AS epoch FROM ranked WHERE running <= rest"""
+
+
 ORACLE: dict[str, str] = {
     "op5_line_dedup": f"""
         WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
@@ -107,4 +158,16 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256({_FOLD}) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY {_FOLD})""",
+    "op8_mix_sources": _mixing_sql(),
+    "op10_minhash_dedup": f"""
+        WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_FOLD}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        sets AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+                   ELSE list_distinct(list_transform(range(1, CAST(len(w) AS BIGINT)), lambda i: w[i] || ' ' || w[i + 1])) END) AS s FROM docs),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+        edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reach(doc_id, other) AS (SELECT doc_id, doc_id FROM docs UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.other)
+        SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+        FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
 }

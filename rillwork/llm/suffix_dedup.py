@@ -471,7 +471,7 @@ def _answered_contexts(length: int, gram: int) -> Callable[[_Batches], _Batches]
 
 
 def _removed(length: int) -> Callable[[_Batches], _Batches]:
-    schema = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]
+    schema = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("spans", pa.binary()), ("kept", pa.binary())]
 
     def run(batches: _Batches) -> _Batches:
         for b in batches:
@@ -494,8 +494,8 @@ def _removed(length: int) -> Callable[[_Batches], _Batches]:
                 for doc_id, s, e in zip(ids, ends - sizes, ends):
                     g = gone[s:e]
                     n = int(g.sum())
-                    spans = int((g[1:] & ~g[:-1]).sum() + g[0]) if n else 0
-                    out.append((doc_id, int(e - s), n, spans, (data[s:e][~g] if n else data[s:e]).tobytes()))
+                    spans = np.flatnonzero(np.diff(g, prepend=False, append=False)).astype("<i8") if n else np.zeros(0, "<i8")
+                    out.append((doc_id, int(e - s), n, len(spans) // 2, spans.tobytes(), (data[s:e][~g] if n else data[s:e]).tobytes()))
                 for lo in range(0, len(out), 2000):
                     yield _rows(out[lo : lo + 2000], schema)
 
@@ -503,9 +503,10 @@ def _removed(length: int) -> Callable[[_Batches], _Batches]:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept)``, a row per input row; ``kept`` holds the remaining bytes.
+    """``(doc_id, n_bytes, n_removed, n_spans, spans, kept)``, a row per input row.
 
-    ``length`` is at most 64 + ``gram``, so that a context's windows fit a 64-bit answer.
+    ``spans`` holds the maximal removed runs as little-endian int64 pairs of
+    begin and end, ``kept`` the remaining bytes. ``length`` is at most 64 + ``gram``, so that a context's windows fit a 64-bit answer.
     """
     if not gram <= length <= gram + 62:
         raise ValueError("length must lie between gram and gram + 62")
@@ -521,4 +522,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     repeated = hashes.mapInArrow(_answered_hashes(hot_blocks), _MESSAGE_DDL)
     contexts = with_answers(repeated).mapInArrow(_sent_contexts(length, gram, buckets), _MESSAGE_DDL).repartition("bucket")
     settled = contexts.mapInArrow(_answered_contexts(length, gram), _MESSAGE_DDL)
-    return with_answers(settled).mapInArrow(_removed(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return with_answers(settled).mapInArrow(_removed(length), "doc_id long, n_bytes long, n_removed long, n_spans long, spans binary, kept binary")
