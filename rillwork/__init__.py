@@ -1,0 +1 @@
+"""Record linkage and training-data processing on Spark DataFrames."""

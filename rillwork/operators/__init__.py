@@ -1,0 +1 @@
+"""DataFrame operators of record linkage."""
