@@ -1,0 +1 @@
+"""Structured Streaming beyond the batch flow."""
