@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 WINDOW = 48
 HIDDEN = 8
@@ -30,6 +31,7 @@ PER_LANG = 400
 TRAIN_WINDOWS = 6000
 MAX_LANGS = 256
 EXCERPT = 4096
+EVIDENCE = 8.0
 SEED = 7
 _BATCH_WINDOWS = 2048
 
@@ -195,7 +197,9 @@ def train(labelled: DataFrame, per_lang: int = PER_LANG, train_windows: int = TR
     return ByteBiGRU(labels, seed=seed).fit(np.array(x).T.copy(), np.array(y))
 
 
-def _labelled(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _labelled(model, keep: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """keep: all columns are passed on, and the two of the result added."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net: ByteBiGRU | None = model.value
         for b in batches:
@@ -206,28 +210,28 @@ def _labelled(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                 mine = known[lo : lo + 512]
                 p = net.pooled([network_input(texts[i]) for i in mine])
                 # Positions are not independent: the pooled evidence counts as that of a few of them.
-                p = np.exp(8.0 * (p - p.max(axis=1, keepdims=True)))
+                p = np.exp(EVIDENCE * (p - p.max(axis=1, keepdims=True)))
                 p /= p.sum(axis=1, keepdims=True)
                 best = p.argmax(axis=1)
                 lang[mine], score[mine] = np.array(net.labels, object)[best], p[np.arange(len(mine)), best]
-            rest = [b[c] for c in b.schema.names if c != "text"]
-            names = [c for c in b.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "score"])
+            own = b.columns if keep else [b["doc_id"]]
+            names = b.schema.names if keep else ["doc_id"]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, "__lang_pred", "__lang_score"])
 
     return run
 
 
 def identify(docs: DataFrame, model: ByteBiGRU | None) -> DataFrame:
-    """``(doc_id, __th, lang_pred, score)``, a row per input row; ``__th`` is the text's hash."""
+    """``(doc_id, lang_pred, score)``, a row per input row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand weights
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("__th"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_labelled(sent), "doc_id long, __th long, lang_pred string, score double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = rows.mapInArrow(_labelled(sent, keep=False), "doc_id long, __lang_pred string, __lang_score double")
+    return found.select("doc_id", F.col("__lang_pred").alias("lang_pred"), F.col("__lang_score").alias("score"))
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5, **options) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is told with at least ``min_score``."""
-    known = identify(docs, train(docs, **options)).where((F.col("lang_pred") != UND) & (F.col("score") >= min_score))
-    kept = known.select(F.col("doc_id").alias("__kept"), F.col("__th").alias("__kept_th")).distinct()
-    keyed = docs.withColumn("__th", F.xxhash64("text"))
-    on = keyed["doc_id"].eqNullSafe(kept["__kept"]) & (keyed["__th"] == kept["__kept_th"])
-    return keyed.join(kept, on, "left_semi").drop("__th")
+    """The rows of ``docs``, all columns, whose language is told with at least ``min_score``. Nothing is shuffled."""
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, **options))
+    schema = StructType([*docs.schema.fields, StructField("__lang_pred", StringType()), StructField("__lang_score", DoubleType())])
+    found = docs.mapInArrow(_labelled(sent, keep=True), schema)
+    return found.where((F.col("__lang_pred") != UND) & (F.col("__lang_score") >= min_score)).select(*(f"`{c}`" for c in docs.columns))
