@@ -34,8 +34,7 @@ def _crc(n: int):
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    learn = docs.where(_crc(5) != 0).join(labels.select("doc_id", "toxic"), "doc_id").select("text", "toxic")
-    scored = toxicity.score_toxicity(docs, toxicity.train(learn))
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs, labels.where(_crc(5) != 0)))
     held_out = F.coalesce(_crc(5) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -192,15 +192,21 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-4) -
     return w
 
 
-def train(labelled: DataFrame, per_class: int = PER_CLASS, seed: int = SEED) -> ToxicityModel:
-    """Fit on at most ``per_class`` rows of each class of ``labelled(text, toxic)``, as the module says."""
-    rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
+def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = SEED) -> ToxicityModel:
+    """Fit on at most ``per_class`` rows of each class, as the module says. docs: (doc_id, text); labels: (doc_id, toxic).
+
+    The sample is drawn from the labels alone; its ids, whose number has a bound, are
+    broadcast to the documents, so no text moves but that of the sample.
+    """
+    rows = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null")
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, per_class / counts.get(1, 1))).otherwise(min(1.0, per_class / counts.get(0, 1)))
-    draw = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    drawn = rows.where(draw < share).limit(3 * per_class)
     at = F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.greatest(F.length("text") - EXCERPT + 1, F.lit(1))) + 1
     excerpt = F.col("text").substr(at.cast("int"), F.lit(EXCERPT))
-    sample = sorted((r["text"] or "", r["toxic"]) for r in rows.where(draw < share).select(excerpt.alias("text"), "toxic").limit(3 * per_class).collect())
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")
+    sample = sorted((r["text"] or "", r["toxic"]) for r in texts.select(excerpt.alias("text"), "toxic").limit(6 * per_class).collect())
     share_of_1 = counts.get(1, 0) / sum(counts.values()) if counts else 0.0
     return ToxicityModel([t for t, _ in sample], [y for _, y in sample], share_of_1, seed)
 
