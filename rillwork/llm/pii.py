@@ -12,7 +12,9 @@ have equal pseudonyms in all documents and different values different ones:
   last are permuted and the Luhn digit is made anew;
 * IPv4 addresses: two halves of 16 bits;
 * social security numbers with valid area, group and serial;
-* North American telephone numbers with valid area and exchange codes;
+* North American telephone numbers with valid area and exchange codes, and those
+  that a plus sign or brackets mark as such whatever their codes, which keep to
+  codes of their kind;
 * e-mail addresses: each run of letters and digits before the @, by its length
   and alphabet; runs that mix them are lower-cased, and come back so.
 
@@ -132,10 +134,15 @@ def _ssn(key: str, undo: bool) -> str:
 
 def _phone(key: str, undo: bool) -> str:
     area, exchange, line = (f"cast(substring(right(d, 10), {at}, {n}) as int)" for at, n in ((1, 3), (4, 3), (7, 4)))
-    f = _feistel(key, "phone", "0", f"{area} - 200", f"({exchange} - 200) * 10000 + {line}", "800L", "8000000L", undo)
-    back = "substring(d, 1, length(d) - 10), cast(f.a + 200 as string), cast(f.b div 10000 + 200 as string), lpad(cast(f.b % 10000 as string), 4, '0')"
-    new = _let("f", f, _let("n", f"concat({back})", _refilled("m", "n")))
-    return _let("d", _digits("m"), f"if({area} >= 200 and {exchange} >= 200, {new}, m)")
+
+    def among(kind: str, area_from: int, areas: int, exchange_from: int, exchanges: int) -> str:
+        f = _feistel(key, kind, "0", f"{area} - {area_from}", f"({exchange} - {exchange_from}) * 10000 + {line}", f"{areas}L", f"{exchanges}0000L", undo)
+        back = f"substring(d, 1, length(d) - 10), lpad(cast(f.a + {area_from} as string), 3, '0'), lpad(cast(f.b div 10000 + {exchange_from} as string), 3, '0'), lpad(cast(f.b % 10000 as string), 4, '0')"
+        return _let("f", f, _let("n", f"concat({back})", _refilled("m", "n")))
+
+    valid, low_area, low_exchange = among("phone", 200, 800, 200, 800), among("phone-area", 0, 200, 0, 1000), among("phone-exchange", 200, 800, 0, 200)
+    marked = "(m like '+%' or m like '%(%')"
+    return _let("d", _digits("m"), f"case when {area} >= 200 and {exchange} >= 200 then {valid} when not {marked} then m when {area} < 200 then {low_area} else {low_exchange} end")
 
 
 def _run(key: str, undo: bool) -> str:
