@@ -30,16 +30,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return spread.unionByName(own).where("a <> b").distinct()
 
 
+def _mark(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``links(a, b)``; the component is its smallest node."""
     edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
+    mark = _mark(edges)
+    while mark[0]:  # without links there is nothing to do
+        before = mark
         edges = materialize(_small_star(_large_star(edges)), "edges")
-        mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        mark = _mark(edges)
         if mark == before:
             break
-        before = mark
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.unionByName(roots)

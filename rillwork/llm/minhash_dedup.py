@@ -9,17 +9,19 @@ k, over the set. As the shifted reads of one shingle are a contiguous slice of
 pi, a signature is the minimum over slices. The coordinates are cut into bands;
 classes that agree on a band share a bucket.
 
-Pairs come from buckets without ever pairing all members of a large one. In a
-bucket of at most ``SMALL_BUCKET`` classes all pairs are candidates. In a
-larger one, a leader, drawn by a seeded hash, is paired with every member. Candidates are verified on full sets and the links' components are
-computed. Then each larger bucket that still spans several components gets its
-remaining pairs: those between members outside its largest component and
-members of other components. So no candidate pair whose ends are in
-different components goes unverified, while a group of near copies costs its
-size times the number of bands.
-
-At similarity 0.8, 64 bands of 8 rows miss a pair with probability
-(1 - 0.8^8)^64 = 8e-6; below 0.8 candidates are refused by verification.
+Pairs come from buckets without ever pairing all members of a large group. First,
+in a few bands, every member is verified with its bucket's leader, the least by a
+seeded hash, and the links' components are computed. Then, in all bands, members are
+verified with a few leaders that their bucket draws for itself, where the two are in
+different components, and components are joined. Last, each bucket that still spans several components gets its
+remaining pairs across components: members outside its largest component with
+members of others, where sizes and sketches of the signatures (four bits a
+coordinate) admit the similarity. So no candidate pair whose ends are in different components
+goes unverified, while a group of near copies costs its size times a few bands.
+
+At similarity 0.8, 40 bands of 6 rows miss a pair with probability
+(1 - 0.8^6)^40 = 5e-6; below 0.8 candidates are refused by verification. Nodes,
+the classes of equal sets, are named by 64 bits of their set's hash.
 
 Defined results: null and empty texts, and texts without words, have an empty
 set, link to nothing and are their own component; a text with fewer words than
@@ -31,25 +33,25 @@ result; further columns of the input are ignored.
 
 from __future__ import annotations
 
+import math
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillwork.llm.common import materialize, row_key
 from rillwork.llm.components import connected_components
 
 RING = 1 << 20
-BANDS, ROWS = 64, 8
-SMALL_BUCKET = 8
+BANDS, ROWS = 40, 6
+FIRST_BANDS = 3
 LEADERS = 3
 SEED = 0x5EED
 
-_WHITE = b" \t\n\x0b\x0c\r"
 _MEMO_WORDS = 400_000
 _ODD1, _ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -110,22 +112,45 @@ def _band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def _sketch(signature: np.ndarray) -> np.ndarray:
+    """Four bits of each coordinate, sixteen coordinates to a long."""
+    low = np.zeros(-(-len(signature) // 16) * 16, np.uint64)
+    low[: len(signature)] = signature & 15
+    return np.bitwise_or.reduce(low.reshape(-1, 16) << (np.uint64(4) * np.arange(16, dtype=np.uint64)), axis=1).view(np.int64)
+
+
+def _sketches_agree(x: str, y: str, coordinates: int, percent: int) -> Column:
+    """Whether two sketches agree on as many coordinates as a similar pair's do, less six standard deviations (1 in 10^9)."""
+    longs = -(-coordinates // 16)
+    agree = percent / 100 + (1 - percent / 100) / 16
+    least = math.floor(coordinates * agree - 6 * math.sqrt(coordinates * agree * (1 - agree)))
+    other = F.lit(0)
+    for k in range(longs):
+        v = F.element_at(x, k + 1).bitwiseXOR(F.element_at(y, k + 1))
+        any_bit = v.bitwiseOR(F.shiftright(v, 1)).bitwiseOR(F.shiftright(v, 2)).bitwiseOR(F.shiftright(v, 3))
+        other = other + F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
+    return other <= coordinates - least
+
+
 def _sets(size: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, minhash, seen = _WordHashes(), CirculantMinHash(bands * rows), set()
         for b in batches:
-            n, digests, banded = [], [], []
-            for text in b["text"].to_pylist():
+            n, nodes, banded, sketches = [], [], [], []
+            for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
                 own = shingle_set(text, size, memo)
                 digest = xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None
                 n.append(len(own))
-                digests.append(digest)
-                if digest is None or digest in seen:  # a class is banded once a task
+                nodes.append(digest and int.from_bytes(digest[:8], "little", signed=True))
+                if digest is None or doc_id is None or digest in seen:  # a class is banded once a task
                     banded.append(None)
+                    sketches.append(None)
                 else:
                     seen.add(digest)
-                    banded.append(_band_hashes(minhash.signature(own), bands, rows))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["__th"], pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(banded, pa.list_(pa.int64()))], ["doc_id", "__th", "n_shingles", "class", "bands"])
+                    signature = minhash.signature(own)
+                    banded.append(_band_hashes(signature, bands, rows))
+                    sketches.append(_sketch(signature))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["__th"], pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(banded, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "__th", "n_shingles", "node", "bands", "sketch"])
 
     return run
 
@@ -160,13 +185,21 @@ def _links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     """The pairs ``(a, b)`` whose full sets are similar. texts: ``(node, text)`` of class representatives."""
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(size, percent), "a long, b long")
+    return pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(size, percent), "a long, b long")
 
 
 def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _placed(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node, component)`` after the links have joined components."""
+    a, b = (placed.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+    joined = links.join(a, "a").join(b, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    moved = connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("__to"))
+    return materialize(placed.join(moved, "component", "left").select("node", F.coalesce("__to", "component").alias("component")), "placed")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(doc_id, __th, n_shingles, component_id, kept)``, a row per input row.
 
@@ -174,46 +207,55 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     ``percent`` per cent Jaccard similarity; ``__th`` is the text's hash.
     """
     rows_in = row_key(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "__th")
-    sets = materialize(rows_in.mapInArrow(_sets(shingle_words, bands, rows), "doc_id long, __th long, n_shingles long, class binary, bands array<bigint>"), "sets")
-    linked = sets.where("class is not null and doc_id is not null")
-    # A class is named by its smallest id; classes that share one (ids that repeat) are then one node, as defined.
-    classes = linked.groupBy("class").agg(F.min(F.struct("doc_id", "__th")).alias("first"))
-    classes = materialize(classes.select("class", F.col("first.doc_id").alias("node"), F.col("first.__th").alias("node_th")), "classes")
-
-    banded = sets.where("bands is not null").select("class", "bands").dropDuplicates(["class"])
-    members = materialize(banded.join(classes, "class").select("node", F.explode("bands").alias("band")), "bands")
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    small = members.join(sizes.where(F.col("n") <= SMALL_BUCKET), "band").groupBy("band").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
-    small_pairs = small.select(F.explode(F.expr("flatten(transform(nodes, (x, i) -> transform(slice(nodes, i + 2, size(nodes)), y -> struct(x as a, y as b))))")).alias("p")).select("p.a", "p.b")
-    large = materialize(members.join(sizes.where(F.col("n") > SMALL_BUCKET).select("band"), "band"), "large")
-    # One leader a bucket, by one of a few orders: buckets of the same classes then share their leaders.
-    leaders = large.groupBy("band").agg(F.min_by("node", F.xxhash64("node", F.pmod("band", F.lit(LEADERS)))).alias("leader"))
-    led = large.join(leaders, "band").where("node <> leader").select(*_ordered("node", "leader"))
-    pairs = materialize(small_pairs.unionByName(led).distinct(), "pairs")
-
-    # Only the texts of nodes that are in a pair are kept beside the pairs.
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = classes.join(asked, "node", "left_semi").groupBy("node").agg(F.min("node_th").alias("node_th"))
-    reps = rows_in.join(wanted, (F.col("doc_id") == F.col("node")) & (F.col("__th") == F.col("node_th")))
+    sets = materialize(rows_in.mapInArrow(_sets(shingle_words, bands, rows), "doc_id long, __th long, n_shingles long, node long, bands array<bigint>, sketch array<bigint>"), "sets")
+    linked = sets.where("node is not null and doc_id is not null")
+    first = linked.groupBy("node").agg(F.min(F.struct("doc_id", "__th")).alias("f"))
+    first = materialize(first.select("node", F.col("f.doc_id").alias("first_id"), F.col("f.__th").alias("first_th")), "first")
+
+    members = linked.where("bands is not null").select("node", F.posexplode("bands").alias("k", "band"))
+    shared = members.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band")
+    buckets = materialize(members.join(shared, "band", "left_semi").distinct(), "buckets")
+
+    # Only the texts of nodes that share a bucket are kept beside the pairs.
+    nodes = materialize(buckets.select("node").distinct(), "nodes")
+    wanted = first.join(nodes, "node", "left_semi").select("node", "first_id", "first_th")
+    reps = rows_in.join(wanted.hint("merge"), (F.col("doc_id") == F.col("first_id")) & (F.col("__th") == F.col("first_th")))
     texts = materialize(reps.select("node", "text").dropDuplicates(["node"]), "texts")
-    links = materialize(_links(pairs, texts, shingle_words, percent), "links")
-    labels = connected_components(links)
-
-    # What leaders left: in large buckets that span components, pairs across components.
-    placed = large.join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    shares = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("m"))
-    mixed = shares.groupBy("band").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
-    inside = placed.join(mixed, "band")
-    outside = inside.where("component <> main").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
-    rest = outside.join(inside.select("band", F.col("node").alias("y"), F.col("component").alias("cy")), "band").where("cx <> cy").select(*_ordered("x", "y")).distinct()
-    rest = materialize(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
-    more = _links(rest, texts, shingle_words, percent)
-    merged = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b").unionByName(more)
-    final = connected_components(materialize(merged, "merged"))
-
-    component = classes.join(final, "node", "left").select("class", F.coalesce("component", "node").alias("component_id"))
-    out = sets.join(component, "class", "left")
-    component_id = F.coalesce("component_id", "doc_id")
+
+    # 1. A few bands: every member with its bucket's leader.
+    few = buckets.where(F.col("k") < FIRST_BANDS)
+    leaders = few.groupBy("band").agg(F.min_by("node", F.xxhash64("node")).alias("leader"))
+    asked = materialize(few.join(leaders, "band").where("node <> leader").select(*_ordered("node", "leader")).distinct(), "asked")
+    placed = _placed(nodes.select("node", F.col("node").alias("component")), _links(asked, texts, shingle_words, percent))
+
+    # 2. All bands: members with leaders of their bucket, where the components differ.
+    spread = buckets.select("band", "node").join(placed, "node")
+    draws = [F.min_by(F.struct("node", "component"), F.xxhash64("node", "band", F.lit(k))).alias(f"l{k}") for k in range(LEADERS)]
+    open_ = spread.groupBy("band").agg(*draws, F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    leaders = open_.select("band", F.explode(F.array_distinct(F.array(*(f"l{k}" for k in range(LEADERS))))).alias("leader")).select("band", F.col("leader.node").alias("leader"), F.col("leader.component").alias("cl"))
+    more = spread.join(leaders, "band").where(F.col("component") != F.col("cl")).select(*_ordered("node", "leader")).distinct()
+    more = materialize(more.join(asked, ["a", "b"], "left_anti"), "more")
+    placed = _placed(placed, _links(more, texts, shingle_words, percent))
+
+    # 3. Buckets that still span components: all their other pairs across components whose sizes and
+    #    sketches allow the similarity, each in the least band that its ends share.
+    spread = buckets.select("band", "node").join(placed, "node")
+    shares = spread.groupBy("band", "component").agg(F.count(F.lit(1)).alias("m"))
+    mixed = shares.groupBy("band").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.sum("m").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1 and n > 2")
+    known = buckets.groupBy("node").agg(F.collect_set("band").alias("bands"))
+    sketched = linked.where("bands is not null").select("node", F.col("n_shingles").alias("size"), "sketch").dropDuplicates(["node"])
+    inside = materialize(spread.join(mixed.select("band", "main"), "band").join(known, "node").join(sketched, "node"), "mixed")
+    x, y = (inside.select("band", F.col("node").alias(c), F.col("component").alias(f"c{c}"), F.col("size").alias(f"s{c}"), F.col("bands").alias(f"b{c}"), F.col("sketch").alias(f"k{c}"), F.col("main").alias(f"m{c}")) for c in "xy")
+    across = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("my")) | (F.col("x") < F.col("y")))
+    near = 100 * F.least("sx", "sy") >= percent * F.greatest("sx", "sy")
+    rest = x.where("cx <> mx").join(y, "band").where(across & near & _sketches_agree("kx", "ky", bands * rows, percent) & (F.array_min(F.array_intersect("bx", "by")) == F.col("band")))
+    rest = materialize(rest.select(*_ordered("x", "y")).join(asked.unionByName(more), ["a", "b"], "left_anti"), "rest")
+    placed = _placed(placed, _links(rest, texts, shingle_words, percent))
+
+    component = first.join(placed, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
+    least = component.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    out = sets.drop("bands", "sketch").join(component.join(least, "component").select("node", "component_id"), "node", "left")
+    component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "__th", "n_shingles", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
 
 
