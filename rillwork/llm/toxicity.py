@@ -9,11 +9,14 @@ by length: their difference per byte over the whole text, and that of its two mo
 telling words, go through a logistic function that is fitted on sampled rows
 that the models have not seen, weighted by the classes' shares of all rows.
 
-Training takes at most ``per_class`` labelled rows of each class, drawn by a
-seeded hash, and of each an excerpt of at most ``EXCERPT`` characters at a
-seeded place; that bounds the model and the driver's memory whatever the
-corpus. Scoring reads every whole text; distinct words are scored once
-a task.
+The n-grams are counted by class over the whole texts of all labelled rows, in
+a distributed aggregate; the driver gathers one row per distinct n-gram of the highest order,
+of which all lower orders follow, so the model grows with the n-grams that the corpus has
+and not with its length. The few weights of the logistic function are fitted on a
+sample of whole rows, drawn by a seeded hash of their ids, of about ``per_class`` rows of each class
+and at most ``HELD`` of them: they are scored by models of all other rows, and only
+their features are gathered; afterwards their n-grams are added to the models. Scoring
+reads every whole text; distinct words are scored once a task.
 
 Defined results: null, empty and wordless texts get the score that the
 classes' shares of the labelled rows give; with only one class labelled, that class's
@@ -25,22 +28,23 @@ further columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.llm.suffix_dedup import HashedText
+from rillwork.llm.suffix_dedup import _BYTE, HashedText
 
 ORDER = 5
 SHARED = 2
 DISCOUNT = 0.75
 PER_CLASS = 2000
-EXCERPT = 4096
+HELD = 0.3
 SEED = 11
 _MEMO_WORDS = 500_000
+_CHUNK = 20_000
 _U = np.uint64
 
 _START, _END = b"\x02", b"\x03"
@@ -69,25 +73,69 @@ class _Laid:
     def contexts(self, n: int) -> np.ndarray:
         return self.text.hash(self.at - n + 1, n - 1)
 
+    def rows(self, n: int) -> np.ndarray:
+        """The bytes of each n-gram."""
+        return self.text.data[self.at[:, None] + np.arange(1 - n, 1)]
+
+
+class _Grams:
+    """Distinct n-grams of one order, as numbers; they and their suffixes hash as they do in words that are laid."""
+
+    def __init__(self, codes: np.ndarray, order: int):
+        self.order = order
+        self.data = [(codes >> 8 * (order - 1 - j) & 255).astype(np.uint8) for j in range(order)]
+
+    def _hash(self, start: int, size: int) -> np.ndarray:
+        return sum((_BYTE[self.data[start + j]] * HashedText._pow[j] for j in range(size)), np.zeros(len(self.data[0]), _U))
+
+    def grams(self, n: int) -> np.ndarray:
+        return self._hash(self.order - n, n)
+
+    def contexts(self, n: int) -> np.ndarray:
+        return self._hash(self.order - n, n - 1)
+
     def marked(self, n: int) -> np.ndarray:
         """Whether the n-gram begins with a start mark, and so has no left context of its own."""
-        return self.text.data[self.at - n + 1] == _START[0]
+        return self.data[self.order - n] == _START[0]
+
+
+def gram_counts(counts: Sequence[Counter], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of counted words as numbers, in order, and how often each counter has them, a column each."""
+    own, codes, n = sorted(set().union(*counts)), [np.zeros(0, np.int64)], [np.zeros((0, len(counts)), np.int64)]
+    for lo in range(0, len(own), _CHUNK):
+        part = own[lo : lo + _CHUNK]
+        laid = _Laid(part, order)
+        each = np.array([[c[w] for c in counts] for w in part], np.int64)
+        codes.append(laid.rows(order).astype(np.int64) @ (1 << 8 * np.arange(order - 1, -1, -1)))
+        n.append(each[laid.word])
+    found, at = np.unique(np.concatenate(codes), return_inverse=True)
+    total = np.zeros((len(found), len(counts)), np.int64)
+    np.add.at(total, at, np.concatenate(n))
+    return found, total
 
 
 class KneserNeyPair:
     """Interpolated Kneser-Ney models of two classes with shared low orders. counts: words of each class."""
 
     def __init__(self, counts: tuple[Counter, Counter], order: int = ORDER, shared: int = SHARED, discount: float = DISCOUNT):
+        self._fit(*gram_counts(counts, order), order, shared, discount)
+
+    @classmethod
+    def of_grams(cls, codes: np.ndarray, counts: np.ndarray, order: int = ORDER, shared: int = SHARED, discount: float = DISCOUNT) -> KneserNeyPair:
+        """From what ``gram_counts`` gives, a column for each class."""
+        pair = cls.__new__(cls)
+        pair._fit(codes, counts, order, shared, discount)
+        return pair
+
+    def _fit(self, codes: np.ndarray, counts: np.ndarray, order: int, shared: int, discount: float) -> None:
         self.order = order
-        own = sorted(set(counts[0]) | set(counts[1]))
-        laid = _Laid(own, order)
-        weight = [np.array([c[w] for w in own], np.float64)[laid.word] for c in counts]
+        laid, weight = _Grams(codes, order), counts.T.astype(np.float64)
         raw, number, unique, first = {}, {}, {}, {}
         for n in range(1, order + 1):
             unique[n], first[n], number[n] = np.unique(laid.grams(n), return_index=True, return_inverse=True)
             raw[n] = [np.bincount(number[n], w, len(unique[n])) for w in weight]
         self.tables = []
-        below = [np.full(len(laid.at[:0]) + 1, -np.log(256.0))] * 2
+        below = [np.full(1, -np.log(256.0))] * 2
         for n in range(1, order + 1):
             if n == order:
                 count = raw[n]
@@ -134,32 +182,35 @@ class ToxicityModel:
     """The two models, and the logistic function of their comparison."""
 
     def __init__(self, texts: list[str | None], toxic: list[int], share: float, seed: int = SEED):
-        y = np.array(toxic, np.float64)
-        self.share = share
-        self.pair, self.memo = None, {}
-        if not len(y) or not 0 < y.mean() < 1:
+        """From rows in memory; ``train`` does the same with those of a table."""
+        self.share, self.pair, self.memo = share, None, {}
+        held = np.random.default_rng(seed).random(len(texts)) < HELD
+        counts = [Counter() for _ in range(4)]
+        for text, label, h in zip(texts, toxic, held):
+            counts[2 * h + label].update(words(text))
+        mine = [k for k in np.flatnonzero(held) if words(texts[k])]
+        self.fit(*gram_counts(counts), lambda: ([self.features(texts[k]) for k in mine], [toxic[k] for k in mine]))
+
+    def fit(self, codes: np.ndarray, counts: np.ndarray, held: Callable[[], tuple[list, list]]) -> None:
+        """counts: of the two classes in most rows, and in the rows held back; held: features and classes of the latter."""
+        most = counts[:, :2]
+        if not most.any(axis=0).all():
             return
-        draw = np.random.default_rng(seed).random(len(texts))
-        counts = (Counter(), Counter())
-        for text, label, d in zip(texts, toxic, draw):
-            if d < 0.7:
-                counts[label].update(words(text))
-        if not counts[0] or not counts[1]:
-            return
-        self.pair = KneserNeyPair(counts)
-        mine = [k for k, d in enumerate(draw) if d >= 0.7 and words(texts[k])]
-        x = np.array([self.features(texts[k]) for k in mine]).reshape(-1, 4)
+        seen = most.any(axis=1)
+        self.pair = KneserNeyPair.of_grams(codes[seen], most[seen])
+        features, y = held()
+        x = np.array(features, np.float64).reshape(-1, 4)
         self.scale = np.maximum(np.abs(x).max(axis=0, initial=0), 1e-9)
-        self.weights = _logistic(x / self.scale, y[mine], share)
-        self.memo = {}
+        self.weights = _logistic(x / self.scale, np.array(y, np.float64), self.share)
+        self.pair, self.memo = KneserNeyPair.of_grams(codes, most + counts[:, 2:]), {}
 
     def learn(self, own: set[bytes]) -> None:
         """Score the words that are new."""
         new = [w for w in own if w not in self.memo]
         if len(self.memo) + len(new) > _MEMO_WORDS:
             self.memo, new = {}, list(own)
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
+        for lo in range(0, len(new), _CHUNK):
+            part = new[lo : lo + _CHUNK]
             self.memo.update(zip(part, self.pair.compare(part).tolist()))
 
     def features(self, text: str | None) -> np.ndarray:
@@ -192,23 +243,58 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-4) -
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = SEED) -> ToxicityModel:
-    """Fit on at most ``per_class`` rows of each class, as the module says. docs: (doc_id, text); labels: (doc_id, toxic).
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the n-grams by ``slot``; a task's memory is bounded by the distinct words that it gathers before it passes them on."""
+
+    def passed_on() -> pa.RecordBatch:
+        codes, n = gram_counts(counts)
+        return pa.RecordBatch.from_arrays([pa.array(codes), *(pa.array(np.ascontiguousarray(n[:, k])) for k in range(4))], ["gram", "n0", "n1", "n2", "n3"])
+
+    counts = [Counter() for _ in range(4)]
+    for b in batches:
+        for text, slot in zip(b["text"], b["slot"].to_pylist()):
+            counts[slot].update(words(text.as_py()))
+            if sum(map(len, counts)) > _MEMO_WORDS // 2:
+                yield passed_on()
+                counts = [Counter() for _ in range(4)]
+    yield passed_on()
 
-    The sample is drawn from the labels alone; its ids, whose number has a bound, are
-    broadcast to the documents, so no text moves but that of the sample.
-    """
+
+def _featured(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: ToxicityModel = model.value
+        for b in batches:
+            rows = [(y, own.features(t).tolist()) for t, y in zip(b["text"].to_pylist(), b["toxic"].to_pylist()) if words(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.list_(pa.float64()))], ["toxic", "x"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = SEED) -> ToxicityModel:
+    """Count all labelled rows, and fit the weights on about ``per_class`` of each class, as the module says. docs: (doc_id, text); labels: (doc_id, toxic)."""
+    sc = docs.sparkSession.sparkContext
     rows = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null")
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    share = F.when(F.col("toxic") == 1, min(1.0, per_class / counts.get(1, 1))).otherwise(min(1.0, per_class / counts.get(0, 1)))
+    model = ToxicityModel([], [], counts.get(1, 0) / sum(counts.values()) if counts else 0.0, seed)
+    if len(counts) < 2:
+        return model
+    share = F.when(F.col("toxic") == 1, min(HELD, per_class / counts[1])).otherwise(min(HELD, per_class / counts[0]))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    drawn = rows.where(draw < share).limit(3 * per_class)
-    at = F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.greatest(F.length("text") - EXCERPT + 1, F.lit(1))) + 1
-    excerpt = F.col("text").substr(at.cast("int"), F.lit(EXCERPT))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")
-    sample = sorted((r["text"] or "", r["toxic"]) for r in texts.select(excerpt.alias("text"), "toxic").limit(6 * per_class).collect())
-    share_of_1 = counts.get(1, 0) / sum(counts.values()) if counts else 0.0
-    return ToxicityModel([t for t, _ in sample], [y for _, y in sample], share_of_1, seed)
+    rows = rows.withColumn("held", draw < share)
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    # The labels grow with the input, so they are not sent to all executors; without a sort, the texts move once.
+    slots = texts.join(rows.hint("shuffle_hash"), "doc_id").select("text", (F.col("held").cast("int") * 2 + F.col("toxic")).alias("slot"))
+    grams = slots.mapInArrow(_counted, "gram long, n0 long, n1 long, n2 long, n3 long").groupBy("gram").agg(*(F.sum(f"n{k}").alias(f"n{k}") for k in range(4)))
+    found = grams.toArrow().sort_by("gram")
+    columns = [found[c].to_numpy().astype(np.int64) for c in found.column_names]
+
+    def held() -> tuple[list, list]:
+        sample = texts.join(F.broadcast(rows.where("held")), "doc_id").select("text", "toxic")
+        own = sorted((r["toxic"], r["x"]) for r in sample.mapInArrow(_featured(sc.broadcast(model)), "toxic int, x array<double>").collect())
+        return [x for _, x in own], [y for y, _ in own]
+
+    model.fit(columns[0], np.stack(columns[1:], 1), held)
+    return model
 
 
 def _scored(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

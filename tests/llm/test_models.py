@@ -129,3 +129,17 @@ def test_toxicity_query(spark):
     held = [r for r in got if r["held_out"] and r["doc_id"] in labels]
     assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in held]) > 0.9
     assert all(r["predicted"] == int(r["score"] >= 0.5) for r in got)
+
+
+def test_all_labelled_rows_are_counted_whole(spark, docs):
+    rng = random.Random(5)
+    rare = ["".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(9)) for _ in range(80)]
+    rows = [(i, "house river green " * 700 + w + " paper" * 10) for i, w in enumerate(rare)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.train(docs(rows), labels, per_class=8)
+    known = set(model.pair.tables[-1][0].tolist())
+    laid = toxicity._Laid([w.encode() for w in rare], toxicity.ORDER)
+    assert all(g in known for g in laid.grams(toxicity.ORDER).tolist())
+    in_memory = toxicity.ToxicityModel([t for _, t in rows], [i % 2 for i in range(80)], 0.5)
+    for a, b in zip(model.pair.tables, in_memory.pair.tables):
+        assert all(np.array_equal(x, y) for x, y in zip(a, b))
