@@ -99,7 +99,8 @@ def train_gbt(labelled: DataFrame, split: DataFrame | None = None, rounds: int =
     rows = labelled.withColumn("label", F.col("label").cast("double"))
     if split is not None:
         rows = rows.join(split.select("source1_entity_id", (F.col("split") == "validation").alias("__validation")), "source1_entity_id")
-        settings |= {"validationIndicatorCol": "__validation"}
+        if not rows.where("__validation").isEmpty():  # of fewer than five entities, none is held out
+            settings |= {"validationIndicatorCol": "__validation"}
     return GBTClassifier(featuresCol="__features", labelCol="label", **settings).fit(_vectors(rows))
 
 

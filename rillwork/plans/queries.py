@@ -19,6 +19,8 @@ QUERIES: dict[str, Query] = {}
 FIXTURE_THRESHOLD = 0.5
 SMALL_CAP = 10
 TIGHT_CAP = 1
+#: The reference's limit; boosting stops before it when the validation entities no longer gain.
+GBT_ROUNDS = 700
 
 
 def query(f: Query) -> Query:
@@ -281,8 +283,7 @@ def gbt_scored_pairs(spark: SparkSession, d: str) -> DataFrame:
     """All candidate pairs scored by boosted trees that are trained on the labelled ones. Not expressible in SQL."""
     pairs = sampling.labelled_pairs(_true(spark, d), _found_both(spark, d))
     labelled = features.pair_features(pairs, E.normalized(spark, d, 1), _targets(spark, d), how="left").cache()
-    # The registered query's trees are few and its leaves small: the fixture has few positives.
-    model = scoring.train_gbt(labelled, rounds=10, minInstancesPerNode=1, maxDepth=4)
+    model = scoring.train_gbt(labelled, sampling.entity_split(labelled), rounds=GBT_ROUNDS)
     labelled.unpersist()
     scored = scoring.gbt_score(pair_features_all(spark, d), model)
     return scored.select(*blocking.PAIR, "candidate_source", "match_probability")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from rillwork.operators import blocking, evaluate, features, profile, results, sampling, scoring, truth, validate
 from rillwork.operators.normalize import normalize_source
+from rillwork.plans import queries
 from rillwork.sources.schemas import GROUND_TRUTH, SOURCE
 
 PAIRS = "source1_entity_id string, candidate_entity_id string"
@@ -175,3 +176,21 @@ def test_boosted_trees_train_score_and_reload(spark, tmp_path):
     assert scored.where("(match_probability >= 0.5) <> (label = 1)").count() == 0
     report = {r[0]: r for r in scoring.classification_report(scored, 0.5).collect()}
     assert report["accuracy"]["f1"] == 1.0 and report["1"]["support"] == 150
+
+
+def test_the_registered_trees_are_the_production_ones(spark, monkeypatch):
+    data = [(f"S1-{i}", f"S2-{i}", i % 2, *[i % 7] * 21) for i in range(4)]
+    labelled = spark.createDataFrame(data, PAIRS + ", label int, " + ", ".join(f"{f} int" for f in features.FEATURES))
+    assert scoring.train_gbt(labelled, sampling.entity_split(labelled), rounds=2).getNumTrees == 2  # nothing is held out of four
+    asked = {}
+
+    def train(rows, split=None, rounds=40, **options):
+        asked.update(split=split, rounds=rounds, options=options)
+        raise InterruptedError
+
+    monkeypatch.setattr(queries.sampling, "labelled_pairs", lambda *_: labelled)
+    monkeypatch.setattr(queries.features, "pair_features", lambda *_, **__: labelled)
+    monkeypatch.setattr(queries.scoring, "train_gbt", train)
+    with pytest.raises(InterruptedError):
+        queries.gbt_scored_pairs(spark, "/root/testdata/sf0.001")
+    assert asked["split"] is not None and asked["rounds"] == 700 and not asked["options"]
