@@ -9,7 +9,8 @@ have equal pseudonyms in all documents and different values different ones:
   is valid only with its month first is not taken for one, as its pseudonym could
   be read either way);
 * payment card numbers of 13-19 digits with a valid Luhn digit: all digits but the
-  last are permuted and the Luhn digit is made anew;
+  last are permuted and the Luhn digit is made anew (again and again, where groups of digits
+  like those of telephone numbers would make the result read as another format);
 * IPv4 addresses: two halves of 16 bits;
 * social security numbers with valid area, group and serial;
 * North American telephone numbers with valid area and exchange codes, and those
@@ -28,7 +29,8 @@ mapped, and the pieces are joined again.
 
 Defined results: a null text stays null with no replacement; an empty text stays
 empty; values that fail validation stay; overlapping candidates are taken from
-the left, the longest format first; rows that repeat get equal results; an empty
+the left, the longest format first, but a card candidate ends before a valid phone, social security number
+or ISO date (a card after another number in one run is not looked for again); rows that repeat get equal results; an empty
 table gives an empty result; further columns are ignored.
 """
 
@@ -47,8 +49,14 @@ _CARD = r"\d(?:[ -]?\d){12,18}"
 _EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9]++(?=[A-Za-z0-9._%+-]{0,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
 _FIRST, _LAST = r"(?<![0-9])(?<![0-9][.-])", r"(?![0-9])(?![.-][0-9])"
 
+#: Values whose layout and codes are valid: no card goes on into one. Pseudonyms keep to these codes, so ``undo`` finds the same values.
+_SURE_PHONE = r"(?:1[ .-]?)?[2-9]\d{2}[ .-][2-9]\d{2}[ .-]\d{4}"
+_SURE_SSN = r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}"
+_SURE_DATE = r"(?:1[89]|2[01])\d{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])"
+_WHOLE_CARD = _CARD.replace("[ -]?", f"(?:[ -](?!(?:{_SURE_PHONE}|{_SURE_SSN}|{_SURE_DATE}){_LAST}))?")
+
 #: A run before an @ may go on after a dot or the like, so the look-ahead admits what an address's name may hold.
-PATTERN = f"{_EMAIL}|{_FIRST}(?:{_DATE}|{_IP}|{_SSN}|{_CARD}|{_PHONE}){_LAST}"
+PATTERN = f"{_EMAIL}|{_FIRST}(?:{_DATE}|{_IP}|{_SSN}|{_SURE_PHONE}|{_WHOLE_CARD}|{_PHONE}){_LAST}"
 
 
 def _q(text: str) -> str:
@@ -103,7 +111,11 @@ def _decimal(key: str, kind: str, digits: str, undo: bool) -> str:
 
 def _card(key: str, undo: bool) -> str:
     body = _let("p", _decimal(key, "card", "substring(d, 1, length(d) - 1)", undo), _refilled("m", f"concat(p, cast(pmod(10 - {_luhn("concat(p, '0')")} % 10, 10) as string))"))
-    return _let("d", _digits("m"), f"if({_luhn('d')} % 10 = 0, {body}, m)")
+    once = lambda m: _let("m", m, _let("d", _digits("m"), body))
+    # Where its groups can look like another format, the permutation is repeated until the card reads as one again.
+    walk = f"aggregate(sequence(1, 64), {once('m')}, (c, turn) -> if(regexp_extract(c, {_q(PATTERN)}, 0) = c, c, {once('c')}))"
+    mixed = f"m rlike {_q(r'[0-9]{3}[ -][0-9]{2,3}[ -][0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2}')}"
+    return _let("d", _digits("m"), f"case when {_luhn('d')} % 10 <> 0 then m when {mixed} then {walk} else {once('m')} end")
 
 
 def _date(key: str, undo: bool) -> str:

@@ -122,3 +122,15 @@ def test_pii_is_native_and_takes_edge_rows(spark, docs):
     assert len({r[1] for r in got if r[1]}) == 1
     assert not re.search("Python|Arrow|Pandas", pseudonymise(df, "k")._jdf.queryExecution().toString())
     assert pseudonymise(df.limit(0), "k").collect() == []
+
+
+def test_valid_values_beside_other_numbers_are_replaced(spark, docs):
+    texts = ["1234 212-555-0100", "212-555-0100 2019", "1234 078-05-1120", "12345 1984-02-29", "7 1 212-555-0100 99", "4111 1111 1111 1111 2024", "411-111-1111 111111"]
+    values = ["212-555-0100", "212-555-0100", "078-05-1120", "1984-02-29", "212-555-0100", "4111 1111 1111 1111", "411-111-1111 111111"]
+    new = pseudonymise(docs(list(enumerate(texts))), "key")
+    got = {r["doc_id"]: r for r in new.collect()}
+    for i, v in enumerate(values):
+        assert got[i]["n_replaced"] == 1 and v not in got[i]["text"] and len(got[i]["text"]) == len(texts[i])
+    assert got[0]["text"].split()[1] == got[1]["text"].split()[0]
+    back = {r["doc_id"]: r["text"] for r in pseudonymise(new.select("doc_id", "text"), "key", undo=True).collect()}
+    assert [back[i] for i in range(len(texts))] == texts
