@@ -16,8 +16,8 @@ have equal pseudonyms in all documents and different values different ones:
 * North American telephone numbers with valid area and exchange codes, and those
   that a plus sign or brackets mark as such whatever their codes, which keep to
   codes of their kind;
-* e-mail addresses: each run of letters and digits before the @, by its length
-  and alphabet; runs that mix them are lower-cased, and come back so.
+* e-mail addresses: each run of letters and digits before the @, every character
+  within its class (digit, lower or upper case).
 
 A domain is the product of two ranges, a and b; the rounds add a keyed hash
 of one coordinate to the other, modulo its range, in turn, which permutes the domain
@@ -158,23 +158,23 @@ def _phone(key: str, undo: bool) -> str:
 
 
 def _run(key: str, undo: bool) -> str:
-    """A run of letters and digits, in pieces of up to 10: digits keep to digits, letters to letters, mixed runs to both."""
-
-    def piece(kind: str, radix: int, alphabet: str) -> str:
-        # Symbols of the alphabet as those that conv reads, and back.
-        plain = "0123456789abcdefghijklmnopqrstuvwxyz"[:radix]
-        code = f"translate(x, '{alphabet}', '{plain}')" if alphabet != plain else "x"
-        half = "cast(length(x) div 2 as int)"
-        a = f"if({half} = 0, '0', conv(substring({code}, 1, {half}), {radix}, 10))"
-        b = f"conv(substring({code}, {half} + 1), {radix}, 10)"
-        range_a, range_b = f"cast(round(pow({radix}, {half})) as bigint)", f"cast(round(pow({radix}, length(x) - {half})) as bigint)"
-        f = _feistel(key, kind, "length(x)", a, b, range_a, range_b, undo)
-        symbols = lambda v, n: f"if({n} = 0, '', lpad(lower(conv(cast({v} as string), 10, {radix})), {n}, '0'))"
-        new = f"concat({symbols('f.a', half)}, {symbols('f.b', f'length(x) - {half}')})"
-        return _let("f", f, f"translate({new}, '{plain}', '{alphabet}')" if alphabet != plain else new)
-
-    letters = "abcdefghijklmnopqrstuvwxyz"
-    each = f"case when x rlike '^[0-9]+$' then {piece('digits', 10, '0123456789')} when x rlike '^[a-z]+$' then {piece('letters', 26, letters)} when x rlike '^[A-Z]+$' then {piece('capitals', 26, letters.upper())} else {_let('x', 'lower(x)', piece('mixed', 36, '0123456789' + letters))} end"
+    """A run of letters and digits, in pieces of up to 10: every character keeps its class (digit, lower or upper case).
+
+    A piece is a number whose places have 10 or 26 values each; pieces of
+    one pattern of classes are permuted among themselves.
+    """
+    symbols = lambda v: f"regexp_extract_all({v}, '.', 0)"
+    radix = "if(c <= '9', 10L, 26L)"
+    zero = "case when c <= '9' then 48 when c <= 'Z' then 65 else 97 end"
+    half = "cast(length(x) div 2 as int)"
+    a, b = f"substring(x, 1, {half})", f"substring(x, {half} + 1)"
+    number = lambda v: f"aggregate({symbols(v)}, 0L, (n, c) -> n * {radix} + ascii(c) - {zero})"
+    size = lambda v: f"aggregate({symbols(v)}, 1L, (n, c) -> n * {radix})"
+    written = lambda n, v: f"aggregate(reverse({symbols(v)}), named_struct('n', {n}, 't', ''), (z, c) -> named_struct('n', z.n div {radix}, 't', concat(char(z.n % {radix} + {zero}), z.t)), z -> z.t)"
+    pattern = "regexp_replace(regexp_replace(regexp_replace(x, '[0-9]', '0'), '[a-z]', 'a'), '[A-Z]', 'A')"
+    f = _feistel(key, "run", "k.p", number(a), number(b), "k.a", "k.b", undo)
+    new = _let("f", f, f"concat({written('f.a', a)}, {written('f.b', b)})")
+    each = _let("k", f"named_struct('p', {pattern}, 'a', {size(a)}, 'b', {size(b)})", new)
     return f"array_join(transform(regexp_extract_all(m, '[A-Za-z0-9]{{1,10}}', 0), x -> {each}), '')"
 
 

@@ -1,3 +1,5 @@
+import hashlib
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -6,7 +8,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from rillwork.llm.mixing import mixed_documents, production_mixture, select_mixture
-from rillwork.llm.pii import pseudonymise
+from rillwork.llm.pii import ROUNDS, pseudonymise
 
 
 def share(budget, children):
@@ -134,3 +136,88 @@ def test_valid_values_beside_other_numbers_are_replaced(spark, docs):
     assert got[0]["text"].split()[1] == got[1]["text"].split()[0]
     back = {r["doc_id"]: r["text"] for r in pseudonymise(new.select("doc_id", "text"), "key", undo=True).collect()}
     assert [back[i] for i in range(len(texts))] == texts
+
+
+def feistel(key, kind, size, a, b, range_a, range_b):
+    """The rounds again, in plain Python."""
+    for r in range(ROUNDS):
+        h = int(hashlib.sha256(f"{key}|{kind}|{size}|{r}|{a if r % 2 else b}".encode()).hexdigest()[:15], 16)
+        a, b = (a, (b + h) % range_b) if r % 2 else ((a + h) % range_a, b)
+    return a, b
+
+
+def number(text):
+    n, size = 0, 1
+    for c in text:
+        radix, zero = (10, "0") if c.isdigit() else (26, "A" if c.isupper() else "a")
+        n, size = n * radix + ord(c) - ord(zero), size * radix
+    return n, size
+
+
+def written(n, template):
+    out = ""
+    for c in reversed(template):
+        radix, zero = (10, "0") if c.isdigit() else (26, "A" if c.isupper() else "a")
+        n, at = divmod(n, radix)
+        out = chr(ord(zero) + at) + out
+    return out
+
+
+def plain_run(key, run):
+    out = ""
+    for at in range(0, len(run), 10):
+        x = run[at : at + 10]
+        p = re.sub("[A-Z]", "A", re.sub("[a-z]", "a", re.sub("[0-9]", "0", x)))
+        left, right = x[: len(x) // 2], x[len(x) // 2 :]
+        (a, size_a), (b, size_b) = number(left), number(right)
+        a, b = feistel(key, "run", p, a, b, size_a, size_b)
+        out += written(a, left) + written(b, right)
+    return out
+
+
+def test_every_short_run_has_a_pseudonym_of_its_own(spark, docs):
+    symbols = "0189abyzABYZ"
+    every = ["".join(t) for n in (1, 2, 3) for t in itertools.product(symbols, repeat=n)]
+    alphabet = [chr(c) for c in (*range(48, 58), *range(97, 123), *range(65, 91))]
+    pairs = ["".join(t) for t in itertools.product(alphabet, repeat=2)]
+    for runs, whole in ((every, False), (pairs, True)):
+        new = pseudonymise(docs([(k, f"{r}@x.org") for k, r in enumerate(runs)]), "k")
+        got = {r["doc_id"]: r["text"].split("@")[0] for r in new.collect()}
+        assert len(set(got.values())) == len(runs) and [got[k] for k in range(len(runs))] == [plain_run("k", r) for r in runs]
+        if whole:  # a permutation of all two-character runs
+            assert set(got.values()) == set(runs)
+        back = {r["doc_id"]: r["text"] for r in pseudonymise(new.select("doc_id", "text"), "k", undo=True).collect()}
+        assert [back[k] for k in range(len(runs))] == [f"{r}@x.org" for r in runs]
+
+
+def test_pseudonyms_against_plain_python(spark, docs):
+    rng = random.Random(5)
+    runs = ["".join(rng.choice("abzAZ09xQ7") for _ in range(rng.randint(1, 25))) for _ in range(120)]
+    rows, want = [], []
+    for k, r in enumerate(runs):
+        day = rng.randrange(146_097)
+        ip = [rng.randrange(256) for _ in range(4)]
+        area, group, serial = rng.choice([1, 5, 665, 667, 899, rng.randrange(700, 899)]), rng.randrange(1, 100), rng.randrange(1, 10_000)
+        phone = [rng.randrange(200, 1000), rng.randrange(200, 1000), rng.randrange(10_000)]
+        card = "".join(rng.choice("0123456789") for _ in range(15))
+        card += next(d for d in "0123456789" if luhn(card + d))
+        start = date(1800, 1, 1).toordinal()
+        write = lambda r, day, ip, s, p, c: f"{r}@x.org on {date.fromordinal(start + day)} at {'.'.join(map(str, ip))} as {s[0]:03}-{s[1]:02}-{s[2]:04} by {p[0]}-{p[1]}-{p[2]:04} with {c}"
+        rows.append((k, write(r, day, ip, (area, group, serial), phone, card)))
+        d = feistel("k", "date", "0", day // 773, day % 773, 189, 773)
+        i = feistel("k", "ip", "0", ip[0] * 256 + ip[1], ip[2] * 256 + ip[3], 65536, 65536)
+        s = feistel("k", "ssn", "0", area - 2 if area > 666 else area - 1, (group - 1) * 9999 + serial - 1, 898, 989901)
+        p = feistel("k", "phone", "0", phone[0] - 200, (phone[1] - 200) * 10_000 + phone[2], 800, 8_000_000)
+        c = feistel("k", "card", "15", int(card[:7]), int(card[7:15]), 10**7, 10**8)
+        c = f"{c[0]:07}{c[1]:08}"
+        c += next(x for x in "0123456789" if luhn(c + x))
+        want.append(write(plain_run("k", r), d[0] * 773 + d[1], [i[0] // 256, i[0] % 256, i[1] // 256, i[1] % 256], (s[0] + 2 if s[0] >= 665 else s[0] + 1, s[1] // 9999 + 1, s[1] % 9999 + 1), (p[0] + 200, p[1] // 10_000 + 200, p[1] % 10_000), c))
+    got = {r["doc_id"]: r["text"] for r in pseudonymise(docs(rows), "k").collect()}
+    assert [got[k] for k in range(len(rows))] == want
+
+
+def test_a_very_long_text(spark, docs):
+    text = "mail ab1@x.org, 1984-02-29 and 1.2.3.4\n" * 20_000
+    r = pseudonymise(docs([(1, text)]), "k").first()
+    lines = r["text"].split("\n")
+    assert r["n_replaced"] == 60_000 and len(set(lines)) == 2 and len(r["text"].split("\n")) == 20_001
