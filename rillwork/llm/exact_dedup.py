@@ -6,8 +6,12 @@ cuckoo-filter indexes twice: each map task first merges its own copies, so that
 a digest leaves a task once however many copies it had, then the partial
 groups are dealt out by digest and merged by one index per shuffle partition.
 A filter miss proves that a digest is new; a hit is verified against the full
-digests kept beside the buckets. When a later copy takes a group over, the
-earlier row's entry is deleted and the new one inserted.
+digests kept beside the buckets.
+
+An index holds at most ``MAX_LIVE`` digests. In a map task a full index hands its groups on
+and deletes their digests, which may then come again as another partial group. A shuffle partition
+comes sorted by digest (Spark sorts it and may spill), so there a full index deletes all
+digests that lie behind, which can't come again.
 
 Defined results: null text counts as empty, empty texts form one group, rows
 whose ``doc_id`` repeats all count in ``group_size``, a null ``doc_id`` sorts
@@ -18,16 +22,17 @@ the input are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.llm.common import row_key
+from rillwork.llm.common import row_key, rows_of
 
 SLOTS = 4
 MAX_KICKS = 200
+MAX_LIVE = 200_000
 
 
 class CuckooIndex:
@@ -120,11 +125,14 @@ class CuckooIndex:
             self.insert(digest, [doc_id, count])
             return
         live = self.payload[digest]
+        live[1] += count
         if doc_id is not None and (live[0] is None or doc_id > live[0]):
-            gone = self.delete(digest)
-            self.insert(digest, [doc_id, gone[1] + count])
-        else:
-            live[1] += count
+            live[0] = doc_id
+
+    def retire(self, digests: list[bytes]) -> pa.RecordBatch:
+        """Delete live digests; their groups as a batch."""
+        gone = [self.delete(d) for d in digests]
+        return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([g[0] for g in gone], pa.int64()), pa.array([g[1] for g in gone], pa.int64())], ["digest", "keep_id", "group_size"])
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,26 +141,29 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b["doc_id"], b["__th"], pa.array(out, pa.binary())], ["doc_id", "__th", "digest"])
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    index = CuckooIndex()
-    for b in batches:
-        for digest, doc_id, n in zip(b["digest"].to_pylist(), b["keep_id"].to_pylist(), b["group_size"].to_pylist()):
-            index.merge(digest, doc_id, n)
-    keys = list(index.payload)
-    for at in range(0, len(keys), 20_000):
-        part = keys[at : at + 20_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.binary()), pa.array([index.payload[k][0] for k in part], pa.int64()), pa.array([index.payload[k][1] for k in part], pa.int64())],
-            ["digest", "keep_id", "group_size"],
-        )
-
-
-def _groups(docs: DataFrame) -> DataFrame:
+def _merged(max_live: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = CuckooIndex()
+        for b in batches:
+            for digest, doc_id, n in zip(b["digest"].to_pylist(), b["keep_id"].to_pylist(), b["group_size"].to_pylist()):
+                if len(index) >= max_live and digest not in index:
+                    yield from (index.retire(part) for part in _cut(list(index.payload)))
+                index.merge(digest, doc_id, n)
+        yield from (index.retire(part) for part in _cut(list(index.payload)))
+
+    return run
+
+
+def _cut(digests: list[bytes], size: int = 20_000) -> list[list[bytes]]:
+    return [digests[at : at + size] for at in range(0, len(digests), size)]
+
+
+def _groups(docs: DataFrame, max_live: int = MAX_LIVE) -> DataFrame:
     rows = row_key(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "__th")
     rows = rows.mapInArrow(_digests, "doc_id long, __th long, digest binary")
     schema = "digest binary, keep_id long, group_size long"
-    partial = rows.select("digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")).mapInArrow(_merged, schema)
-    groups = partial.repartition("digest").mapInArrow(_merged, schema)
+    partial = rows.select("digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")).mapInArrow(_merged(max_live), schema)
+    groups = partial.repartition("digest").sortWithinPartitions("digest").mapInArrow(_merged(max_live), schema)
     # A group is one row here, so the skew-join rule can deal a hot digest's rows over many tasks.
     return rows.join(groups, "digest")
 
@@ -172,8 +183,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; of rows that repeat id and text, one."""
-    kept = _groups(docs).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("__kept"), F.col("__th").alias("__kept_th")).distinct()
-    keyed = docs.withColumn("__th", F.xxhash64("text"))
-    on = keyed["doc_id"].eqNullSafe(kept["__kept"]) & (keyed["__th"] == kept["__kept_th"])
-    return keyed.join(kept, on, "left_semi").dropDuplicates(["doc_id", "__th"]).drop("__th")
+    """The rows of ``docs`` that stay, all columns: of equal texts those with the largest id.
+
+    Of rows that repeat id and text, one stays. Where equal texts have no id but null, they all stay, as nothing tells them apart.
+    """
+    return rows_of(docs, _groups(docs).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))), "left_semi", once=True)
