@@ -3,8 +3,8 @@
 Lines are exploded, normalised (ASCII white space stripped at both ends, A-Z
 lower-cased) and hashed to 128 bits; the documents of each hash are counted
 with map-side partial sums; hashes at or over the threshold are joined back to
-the (document, hash) rows and collected per document; each document is
-then reassembled by position without the lines of those hashes.
+the (document, hash) rows, the most frequent ones by broadcast, so that no task gets
+all rows of a hot line, and collected per document; each document is then reassembled by position without the lines of those hashes.
 
 Defined results: null or empty text is one empty line, an empty key (a line of
 white space) is never dropped, a line that repeats inside one document counts
@@ -22,10 +22,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.llm.common import row_key
+from rillwork.llm.common import materialize, row_key
 
 STRIP = b" \t\n\x0b\x0c\r"
 MIN_DOCS = 10
+MAX_HOT = 4096
 
 
 def _key(line: bytes) -> bytes | None:
@@ -69,12 +70,12 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``(doc_id, n_lines, n_dropped, text)``, a row per input row; ``text`` holds the lines that stay."""
     rows = row_key(docs)
     lines = rows.mapInArrow(_exploded, "doc_id long, __th long, key binary")
-    frequent = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("key")
-    dropped = (
-        lines.join(frequent, "key", "left_semi")
-        .groupBy(F.col("doc_id").alias("__id"), F.col("__th").alias("__h"))
-        .agg(F.collect_set("key").alias("dropped"))
-    )
+    frequent = materialize(lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs), "frequent")
+    # Keys with 1 / MAX_HOT of all frequent lines or more are MAX_HOT at most: they travel to the lines.
+    total = frequent.agg(F.sum("n")).first()[0] or 0
+    hot, cold = (frequent.where(c).select("key") for c in (F.col("n") * MAX_HOT >= total, F.col("n") * MAX_HOT < total))
+    found = lines.join(F.broadcast(hot), "key", "left_semi").unionByName(lines.join(F.broadcast(hot), "key", "left_anti").join(cold, "key", "left_semi"))
+    dropped = found.groupBy(F.col("doc_id").alias("__id"), F.col("__th").alias("__h")).agg(F.collect_set("key").alias("dropped"))
     on = rows["doc_id"].eqNullSafe(dropped["__id"]) & (rows["__th"] == dropped["__h"])
     joined = rows.join(dropped.hint("shuffle_hash"), on, "left").select("doc_id", "text", "dropped")
     return joined.mapInArrow(_reassembled, "doc_id long, n_lines long, n_dropped long, text string")

@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from rillwork.llm import exact_dedup
 from rillwork.llm.exact_dedup import CuckooIndex, drop_exact_copies, exact_groups
 from rillwork.llm.line_dedup import dedup_lines
 
@@ -86,3 +87,20 @@ def test_tags_that_collide_are_told_apart():
     index.merge(b, 2, 1)
     index.merge(a, 3, 1)
     assert index.payload == {b: [2, 1], a: [3, 2]}
+
+
+def test_a_full_index_retires_digests(docs):
+    rows = [(i, f"text {i % 37}") for i in range(400)]
+    got = exact_dedup._groups(docs(rows), max_live=3).collect()
+    assert len(got) == 400
+    for r in got:
+        own = [i for i, _ in rows if i % 37 == r["doc_id"] % 37]
+        assert (r["keep_id"], r["group_size"]) == (max(own), len(own))
+
+
+def test_very_long_texts(docs):
+    long = "\n".join(f"line {k % 5000}" for k in range(60_000))
+    rows = [(1, long), (2, long.upper()), (3, "line 7\nother")] + [(k, "line 7") for k in range(10, 20)]
+    got = sorted([tuple(r) for r in dedup_lines(docs(rows)).collect()], key=str)
+    assert got == brute_lines(rows, 10)
+    assert {(r["doc_id"], r["keep_id"]) for r in exact_groups(docs(rows)).collect() if r["doc_id"] < 3} == {(1, 2), (2, 2)}
