@@ -15,7 +15,7 @@ each make a pass over the documents and their hits are united by document.
 
 Defined results: null text has no words and is never contaminated; an item
 without words never occurs; items that share an id are one item in the lists;
-null item ids are not listed; rows that repeat an id are judged on their own;
+an item without an id is not listed or counted, but its words are hit; rows that repeat an id are judged on their own;
 an empty benchmark leaves every document clean; further columns are ignored.
 """
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.llm.common import row_key
+from rillwork.llm.common import row_key, rows_of
 
 WINDOW = 13
 MIN_SHARE = 20  # contaminated: MIN_SHARE * n_hit >= n_words
@@ -48,14 +48,25 @@ def words(text: str | None) -> list[bytes]:
 class Phrases:
     """The test side: terms numbered from 1, and each item's windows as rows of term numbers."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         self.terms: dict[bytes, int] = {}
         self.phrases: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
             own = [self.terms.setdefault(w, len(self.terms) + 1) for w in words(text)]
             size = min(window, len(own))
             for at in range(len(own) - size + 1 if size else 0):
-                self.phrases.setdefault(tuple(own[at : at + size]), set()).add(str(item))
+                names = self.phrases.setdefault(tuple(own[at : at + size]), set())
+                if item is not None:
+                    names.add(item)
+        self.flat = np.fromiter((t for p in self.phrases for t in p), np.int64)
+        self.first = np.cumsum([0, *map(len, self.phrases)])[:-1]
+        self.windows = list(self.phrases.items())
+
+    def possible(self, df: np.ndarray) -> list[tuple[tuple[int, ...], set[str]]]:
+        """The phrases all of whose terms occur, with their items. df: occurrences by term."""
+        if not self.windows:
+            return []
+        return [self.windows[k] for k in np.flatnonzero(np.logical_and.reduceat(df[self.flat] > 0, self.first))]
 
 
 class PositionalIndex:
@@ -128,7 +139,7 @@ def _matcher(phrases, span: int | None) -> Callable[[Iterator[pa.RecordBatch]],
             edge = np.zeros(index.length + 2, np.int32)
             items: list[set[str]] = [set() for _ in index.n_words]
             near: list[set[str]] = [set() for _ in index.n_words]
-            for terms, names in test.phrases.items():
+            for terms, names in test.possible(np.diff(index.bounds)):
                 found = index.phrase(terms)
                 if len(found):
                     np.add.at(edge, found, 1)
@@ -140,7 +151,7 @@ def _matcher(phrases, span: int | None) -> Callable[[Iterator[pa.RecordBatch]],
                         near[d] |= names
             covered = np.cumsum(edge[:-1]) > 0
             ends = index.starts + np.array(index.n_words, np.int64)
-            spans = [np.flatnonzero(covered[s:e]).astype("<i4").tobytes() if x else b"" for s, e, x in zip(index.starts, ends, items)]
+            spans = [np.flatnonzero(covered[s:e]).astype("<i4").tobytes() for s, e in zip(index.starts, ends)]
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["__th"], pa.array(index.n_words, pa.int64()), pa.array(spans, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array([sorted(x) for x in near], pa.list_(pa.string()))],
                 ["doc_id", "__th", "n_words", "hits", "items", "near_items"],
@@ -203,7 +214,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_share: int = MI
     """The rows of ``docs``, all columns, that are not contaminated."""
     n_hit = F.octet_length("hits") / 4
     spoilt = benchmark_matches(docs, benchmark, **options).where((n_hit > 0) & (min_share * n_hit >= F.col("n_words")))
-    spoilt = spoilt.select(F.col("doc_id").alias("__spoilt"), F.col("__th").alias("__spoilt_th")).distinct()
-    keyed = docs.withColumn("__th", F.xxhash64("text"))
-    on = keyed["doc_id"].eqNullSafe(spoilt["__spoilt"]) & (keyed["__th"] == spoilt["__spoilt_th"])
-    return keyed.join(spoilt, on, "left_anti").drop("__th")
+    return rows_of(docs, spoilt, "left_anti")
