@@ -4,8 +4,8 @@ The network reads UTF-8 bytes. Two GRU layers, one from each side, give every
 position a state; a linear layer labels every position, and a document's
 probabilities pool the positions' log-probabilities over the whole
 text. It is trained in numpy by backpropagation through time, with Adam, on a
-bounded sample of labelled rows (``per_lang`` rows of each language, drawn by a
-seeded hash, and ``train_windows`` windows of their texts), so that neither
+bounded sample of labelled rows (``per_lang`` different texts of each language, ``max_rows`` at most in all,
+drawn by a seeded hash, and ``train_windows`` windows of excerpts of them), so that neither
 the driver's memory nor training time follows the corpus. Texts are cut into windows of
 ``WINDOW`` bytes that run side by side as one batch; every byte is labelled.
 
@@ -22,14 +22,17 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from rillwork.llm.common import unused
+
 WINDOW = 48
 HIDDEN = 8
 PER_LANG = 400
 TRAIN_WINDOWS = 6000
-MAX_LANGS = 256
+MAX_ROWS = 40_000
 EXCERPT = 4096
 EVIDENCE = 8.0
 SEED = 7
@@ -163,25 +166,26 @@ def has_letter(text: str | None) -> bool:
     return any(c.isalpha() for c in text) if text else False
 
 
-def train(labelled: DataFrame, per_lang: int = PER_LANG, train_windows: int = TRAIN_WINDOWS, seed: int = SEED) -> ByteBiGRU | None:
-    """Fit on at most ``per_lang`` rows of each language of ``labelled(text, lang)``; None without rows.
+def train(labelled: DataFrame, per_lang: int = PER_LANG, train_windows: int = TRAIN_WINDOWS, seed: int = SEED, max_rows: int = MAX_ROWS, excerpt: int = EXCERPT) -> ByteBiGRU | None:
+    """Fit on at most ``per_lang`` different texts of each language of ``labelled(text, lang)``; None without rows.
 
-    Rows are drawn by a seeded hash of their text against a share for each
-    language, so the sample spreads over the whole table whatever its size.
+    A language's texts are the first in the order of a seeded hash, so the sample is the same on every run and spreads over
+    the whole table whatever its size, and copies of a text count once. No language is left out: with more
+    than ``max_rows / per_lang`` of them each has fewer texts, one at least. Windows are drawn from an
+    excerpt of ``excerpt`` characters, at a seeded place of the text, which bounds the sample in bytes too.
     """
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not counts:
+    rows = rows.withColumn("draw", F.xxhash64("text", F.lit(seed)))
+    langs = rows.agg(F.count_distinct("lang")).first()[0]
+    if not langs:
         return None
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 1.2 * per_lang / r["count"]))).otherwise(share)
-    draw = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    per = max(1, train_windows // len(counts))
-    # Of a sampled row, an excerpt at a seeded place: the sample has a bound, also in bytes.
-    at = F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.greatest(F.length("text") - EXCERPT + 1, F.lit(1))) + 1
-    sample = rows.where(draw < share).select("lang", F.col("text").substr(at.cast("int"), F.lit(EXCERPT)).alias("text")).limit(2 * per_lang * len(counts)).collect()
-    rng, x, y, labels = np.random.default_rng(seed), [], [], sorted(r["lang"] for r in counts)
+    share = max(1, min(per_lang, max_rows // langs))
+    drawn = rows.select("lang", "draw").distinct().withColumn("at", F.row_number().over(W.partitionBy("lang").orderBy("draw"))).where(F.col("at") <= share).select("lang", "draw")
+    at = F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.greatest(F.length("text") - excerpt + 1, F.lit(1))) + 1
+    cut = F.col("text").substr(at.cast("int"), F.lit(excerpt))
+    sample = rows.join(F.broadcast(drawn), ["lang", "draw"]).groupBy("lang", "draw").agg(F.min(cut).alias("text")).select("lang", "text").collect()
+    per = max(1, train_windows // langs)
+    rng, x, y, labels = np.random.default_rng(seed), [], [], sorted({r["lang"] for r in sample})
     for k, lang in enumerate(labels):
         own = [w for r in sorted(sample) if r["lang"] == lang and has_letter(r["text"]) and (w := network_input(r["text"]))]
         for _ in range(per if own else 0):
@@ -197,8 +201,8 @@ def train(labelled: DataFrame, per_lang: int = PER_LANG, train_windows: int = TR
     return ByteBiGRU(labels, seed=seed).fit(np.array(x).T.copy(), np.array(y))
 
 
-def _labelled(model, keep: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """keep: all columns are passed on, and the two of the result added."""
+def _labelled(model, keep: tuple[str, str] | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """keep: all columns are passed on, and the result's two added by these names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net: ByteBiGRU | None = model.value
@@ -216,7 +220,7 @@ def _labelled(model, keep: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                 lang[mine], score[mine] = np.array(net.labels, object)[best], p[np.arange(len(mine)), best]
             own = b.columns if keep else [b["doc_id"]]
             names = b.schema.names if keep else ["doc_id"]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, "__lang_pred", "__lang_score"])
+            yield pa.RecordBatch.from_arrays([*own, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, *(keep or ("__lang_pred", "__lang_score"))])
 
     return run
 
@@ -225,13 +229,14 @@ def identify(docs: DataFrame, model: ByteBiGRU | None) -> DataFrame:
     """``(doc_id, lang_pred, score)``, a row per input row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand weights
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = rows.mapInArrow(_labelled(sent, keep=False), "doc_id long, __lang_pred string, __lang_score double")
+    found = rows.mapInArrow(_labelled(sent), "doc_id long, __lang_pred string, __lang_score double")
     return found.select("doc_id", F.col("__lang_pred").alias("lang_pred"), F.col("__lang_score").alias("score"))
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5, **options) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is told with at least ``min_score``. Nothing is shuffled."""
+def keep_identified(docs: DataFrame, min_score: float = 0.0, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is told, with at least ``min_score``. Nothing is shuffled."""
     sent = docs.sparkSession.sparkContext.broadcast(train(docs, **options))
-    schema = StructType([*docs.schema.fields, StructField("__lang_pred", StringType()), StructField("__lang_score", DoubleType())])
-    found = docs.mapInArrow(_labelled(sent, keep=True), schema)
-    return found.where((F.col("__lang_pred") != UND) & (F.col("__lang_score") >= min_score)).select(*(f"`{c}`" for c in docs.columns))
+    lang, score = unused(docs, "__lang_pred", "__lang_score")
+    schema = StructType([*docs.schema.fields, StructField(lang, StringType()), StructField(score, DoubleType())])
+    found = docs.mapInArrow(_labelled(sent, keep=(lang, score)), schema)
+    return found.where((F.col(lang) != UND) & (F.col(score) >= min_score)).select(*(f"`{c}`" for c in docs.columns))
