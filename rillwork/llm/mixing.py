@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rillwork.llm.common import materialize
+from rillwork.llm.common import materialize, unused
 
 HEX = 3
 BROADCAST_LEAVES = 2_000
@@ -120,14 +120,32 @@ def domain_of(source: Column) -> Column:
     return F.when(group == 0, "web").when(group == 1, "books").when(group == 2, "forums").when(group.isNotNull(), "news")
 
 
+def _levels() -> dict[str, Column]:
+    return {"domain": domain_of(F.col("source")), "lang": F.col("lang"), "source": F.col("source")}
+
+
 def production_mixture(docs: DataFrame) -> DataFrame:
-    levels = {"domain": domain_of(F.col("source")), "lang": F.col("lang"), "source": F.col("source")}
     weights = [weight_of(F.col("domain"), DOMAINS, 1), weight_of(F.col("lang"), LANGS, 1), F.lit(1).cast("long")]
-    return select_mixture(docs, levels, weights, BUDGET_SHARE, MAX_EPOCHS, SEED)
+    return select_mixture(docs, _levels(), weights, BUDGET_SHARE, MAX_EPOCHS, SEED)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the production mixture takes, all columns, with ``mix_domain``, ``mix_tokens`` and ``mix_epoch``."""
-    taken = production_mixture(docs).select(F.col("doc_id").alias("__id"), F.col("__th").alias("__h"), F.col("domain").alias("mix_domain"), F.col("n_tokens").alias("mix_tokens"), F.col("epoch").alias("mix_epoch")).distinct()
-    keyed = docs.withColumn("__th", F.xxhash64("text"))
-    return keyed.join(taken, keyed["doc_id"].eqNullSafe(taken["__id"]) & (keyed["__th"] == taken["__h"])).drop("__th", "__id", "__h")
+    """The rows of ``docs`` that the production mixture takes, all columns, with ``mix_domain``, ``mix_tokens`` and ``mix_epoch``.
+
+    Rows that repeat id, text, language and source are numbered, and as many of them come as the mixture takes.
+    Columns of ``docs`` that have the names of the added ones give way to them.
+    """
+    columns = [c for c in docs.columns if c.lower() not in ("mix_domain", "mix_tokens", "mix_epoch")]
+    docs = docs.select(*(F.col(f"`{c}`") for c in columns))
+    names = ["id", "th", "domain", "lang", "source", "number"]
+    own = unused(docs, *(f"__{n}" for n in names))
+    identity = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text"), *(F.coalesce(c.cast("string"), F.lit("(none)")) for c in _levels().values())]
+    keyed = docs.select("*", *(c.alias(n) for c, n in zip(identity, own)))
+    keyed = keyed.withColumn(own[5], F.row_number().over(W.partitionBy(*own[:5]).orderBy(F.lit(0))))
+    taken = production_mixture(docs)
+    alike = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("__th"), F.col("domain"), F.col("lang"), F.col("source")]
+    taken = taken.select(*(c.alias(n) for c, n in zip(alike, own)), F.col("n_tokens").alias("mix_tokens"), F.col("epoch").alias("mix_epoch"))
+    taken = taken.groupBy(*own[:5], "mix_tokens", "mix_epoch").agg(F.count(F.lit(1)).alias("mix_copies"))
+    clash = unused(docs, "mix_copies")[0]
+    out = keyed.join(taken.withColumnRenamed("mix_copies", clash), own[:5]).where(F.col(own[5]) <= F.col(clash))
+    return out.select(*(F.col(f"`{c}`") for c in columns), F.col(own[2]).alias("mix_domain"), "mix_tokens", "mix_epoch")
