@@ -68,8 +68,12 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return production_mixture(table(spark, sf_dir, "documents")).drop("__th")
 
 
+#: The session's setting that holds the pseudonyms' key, and the key of test tables.
+PII_KEY, TEST_KEY = "spark.rillwork.pii.key", "rillwork"
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(table(spark, sf_dir, "documents"), key="rillwork")
+    return pseudonymise(table(spark, sf_dir, "documents"), key=spark.conf.get(PII_KEY, TEST_KEY))
 
 
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
