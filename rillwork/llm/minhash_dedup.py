@@ -261,9 +261,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     private = single.groupBy("serial").agg(F.count(F.lit(1)).alias("private"))
     sized = linked.where("bands is not null").select("node", F.col("n_shingles").alias("size"), "parity").dropDuplicates(["node"])
     facts = texts.select("node", "serial").join(private, "serial", "left").join(sized, "node").withColumn("private", F.coalesce("private", F.lit(0)).cast("long"))
-    facts = facts.where(100 * F.col("private") <= (100 - percent) * F.col("size")).select("node", F.struct("size", "private", "parity").alias("facts"))
+    facts = materialize(facts.where(100 * F.col("private") <= (100 - percent) * F.col("size")).select("node", F.struct("size", "private", "parity").alias("facts")), "facts")
     buckets = materialize(buckets.join(facts, "node"), "members")
-    placed = materialize(facts.select("node", F.col("node").alias("component")), "nodes")
+    placed = facts.select("node", F.col("node").alias("component"))
 
     # 1. A few bands: every member with its bucket's leader.
     few = buckets.where(F.col("k") < FIRST_BANDS).withColumn("component", F.col("node"))
@@ -290,7 +290,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     moved = materialize(first.join(placed, "node").select("node", "first_id", "component"), "moved")
     least = materialize(moved.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n")).where("n > 1").select("component", "component_id"), "least")
     found = first.select("node", "first_id").join(moved.join(least, "component").select("node", "component_id"), "node", "left")
-    found = found.select("node", F.coalesce("component_id", "first_id").alias("component_id"))
+    # As a table of its own, one row a class, so that the skew-join rule can deal out a hot class's rows.
+    found = materialize(found.select("node", F.coalesce("component_id", "first_id").alias("component_id")), "found")
     out = sets.drop("bands", "parity").join(found, "node", "left")
     component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "__th", "n_shingles", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
