@@ -7,7 +7,6 @@ blocks are united and grouped, so that a pair carries the blocks that found it.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +38,7 @@ BLOCKS = (
 )
 
 PAIR = ["source1_entity_id", "candidate_entity_id"]
+KEY = ["block", "k1", "k2"]
 
 
 def block_keys(normalized: DataFrame) -> DataFrame:
@@ -62,10 +62,25 @@ def block_pairs(s1_keys: DataFrame, target_keys: DataFrame, block: str, cap: int
     return left.join(right, block).where(F.col(PAIR[0]) != F.col(PAIR[1])).select(*PAIR, F.lit(block).alias("block_name"))
 
 
+def _long(normalized: DataFrame, name: str, caps: dict[str, int]) -> DataFrame:
+    """``(block, key, name)`` of all blocks from one pass; keys that are null, empty or over the cap are out.
+
+    Keys travel as 128 bits of hash, whatever their length.
+    """
+    keyed = block_keys(normalized)
+    each = F.array(*(F.struct(F.lit(k).alias("block"), F.col(b.name).alias("text")) for k, b in enumerate(BLOCKS)))
+    rows = keyed.select(F.col("entity_id").alias(name), F.explode(each).alias("e")).where(F.col("e.text").isNotNull() & (F.length("e.text") > 0))
+    rows = rows.select(name, "e.block", F.xxhash64("e.text").alias("k1"), F.xxhash64(F.lit("2"), "e.text").alias("k2"))
+    cap = F.element_at(F.array(*(F.lit(caps.get(b.name, b.cap)) for b in BLOCKS)), F.col("block") + 1)
+    accepted = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") <= cap).select(*KEY)
+    return rows.join(accepted, KEY, "left_semi")
+
+
 def raw_pairs(s1: DataFrame, target: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
     """The pairs of all blocks, one row for each block that found a pair."""
-    a, b = block_keys(s1), block_keys(target)
-    return reduce(DataFrame.unionByName, (block_pairs(a, b, x.name, (caps or {}).get(x.name, x.cap)) for x in BLOCKS))
+    names = F.array(*(F.lit(b.name) for b in BLOCKS))
+    pairs = _long(s1, PAIR[0], caps or {}).join(_long(target, PAIR[1], caps or {}), KEY).where(F.col(PAIR[0]) != F.col(PAIR[1]))
+    return pairs.select(*PAIR, F.element_at(names, F.col("block") + 1).alias("block_name"))
 
 
 def candidates(s1: DataFrame, target: DataFrame, source: str, caps: dict[str, int] | None = None) -> DataFrame:
@@ -77,12 +92,12 @@ def candidates(s1: DataFrame, target: DataFrame, source: str, caps: dict[str, in
 
 def candidate_stats(s1: DataFrame, target: DataFrame, source: str, caps: dict[str, int] | None = None) -> DataFrame:
     """A row per block with its raw pairs, and one named ``total`` with raw and distinct pairs and the share that went."""
-    raw = raw_pairs(s1, target, caps)
-    names = s1.sparkSession.createDataFrame([(b.name,) for b in BLOCKS], "block_name string")
-    each = names.join(raw.groupBy("block_name").agg(F.count(F.lit(1)).alias("n")), "block_name", "left").select("block_name", F.coalesce("n", F.lit(0)).cast("long").alias("raw_pairs"), F.lit(None).cast("long").alias("distinct_pairs"), F.lit(None).cast("double").alias("reduction_percent"))
-    pair = raw.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"))
-    n, d = F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))
-    total = pair.agg(n.cast("long").alias("raw_pairs"), d.cast("long").alias("distinct_pairs"))
-    share = F.when(F.col("raw_pairs") > 0, F.round(100.0 * (F.col("raw_pairs") - F.col("distinct_pairs")) / F.col("raw_pairs"), 6)).otherwise(0.0)
-    total = total.select(F.lit("total").alias("block_name"), "raw_pairs", "distinct_pairs", share.alias("reduction_percent"))
-    return each.unionByName(total).select(F.lit(source).alias("candidate_source"), "*")
+    by_block = [F.count_if(F.col("block_name") == b.name).alias(b.name) for b in BLOCKS]
+    pairs = raw_pairs(s1, target, caps).groupBy(*PAIR).agg(*by_block)
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    one = pairs.agg(F.count(F.lit(1)).alias("distinct"), *(zero(b.name).alias(b.name) for b in BLOCKS))
+    raw, none = sum(F.col(b.name) for b in BLOCKS), F.lit(None)
+    share = F.when(raw > 0, F.round(100.0 * (raw - F.col("distinct")) / raw, 6)).otherwise(0.0)
+    row = lambda name, n, d, s: F.struct(F.lit(name).alias("block_name"), n.cast("long").alias("raw_pairs"), d.cast("long").alias("distinct_pairs"), s.cast("double").alias("reduction_percent"))
+    rows = [*(row(b.name, F.col(b.name), none, none) for b in BLOCKS), row("total", raw, F.col("distinct"), share)]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(source).alias("candidate_source"), "r.*")

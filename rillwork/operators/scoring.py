@@ -6,6 +6,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rillwork.functions.metrics import f_beta, ratio
@@ -41,12 +42,14 @@ def threshold_sweep(scored: DataFrame) -> DataFrame:
     # The bin of a score is the last hundredth that it reaches; the small term only undoes rounding in the product.
     bins = scored.select(F.floor(F.col("match_probability") * 100 + 1e-9).cast("int").alias("bin"), F.col("label").cast("int").alias("label"))
     histogram = bins.groupBy("bin", "label").agg(F.count(F.lit(1)).alias("n"))
-    all_positive = histogram.agg(F.coalesce(F.sum(F.when(F.col("label") == 1, F.col("n"))), F.lit(0)).alias("positives"))
-    reached = histogram.where(F.col("bin") >= FIRST_PERCENT).select(F.explode(F.sequence(F.lit(FIRST_PERCENT), F.least("bin", F.lit(LAST_PERCENT)))).alias("percent"), "label", "n")
+    # Beside the thresholds that it reaches, every bin counts for one below all of them, where all positives meet.
+    reached = F.when(F.col("bin") >= FIRST_PERCENT, F.sequence(F.lit(FIRST_PERCENT), F.least("bin", F.lit(LAST_PERCENT)))).otherwise(F.array().cast("array<int>"))
+    reached = histogram.select(F.explode(F.concat(F.array(F.lit(FIRST_PERCENT - 1)), reached)).alias("percent"), "label", "n")
     count = lambda label: F.coalesce(F.sum(F.when(F.col("label") == label, F.col("n"))), F.lit(0))
     sums = reached.groupBy("percent").agg(count(1).alias("tp"), count(0).alias("fp"))
-    thresholds = scored.sparkSession.range(FIRST_PERCENT, LAST_PERCENT + 1).select(F.col("id").cast("int").alias("percent"))
-    rows = thresholds.join(sums, "percent", "left").join(F.broadcast(all_positive))  # one row
+    thresholds = scored.sparkSession.range(FIRST_PERCENT - 1, LAST_PERCENT + 1).select(F.col("id").cast("int").alias("percent"))
+    rows = thresholds.join(sums, "percent", "left").withColumn("positives", F.coalesce(F.max(F.when(F.col("percent") < FIRST_PERCENT, F.col("tp"))).over(W.partitionBy(F.lit(0))), F.lit(0)))  # 92 rows
+    rows = rows.where(F.col("percent") >= FIRST_PERCENT)
     tp, fp = (F.coalesce(c, F.lit(0)) for c in ("tp", "fp"))
     rows = rows.select((F.col("percent") / 100.0).alias("threshold"), tp.alias("tp"), fp.alias("fp"), (F.col("positives") - tp).alias("fn"))
     d = {c: F.col(c).cast("double") for c in ("tp", "fp", "fn")}

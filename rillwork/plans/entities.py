@@ -9,11 +9,15 @@ text is the same after compaction.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillwork.functions import text as T
 from rillwork.operators.normalize import normalize_source
+from rillwork.sources.staging import staged
 
 
 def source_number() -> Column:
@@ -36,12 +40,43 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Tables that the query being built has staged; None outside queries.
+_open: dict[tuple, DataFrame] | None = None
+
+
+def one_query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``f``, within which ``once`` stages a table a single time. Nothing is kept from one query to the next."""
+
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        global _open
+        outer = _open
+        if outer is None:
+            _open = {}
+        try:
+            return f(spark, sf_dir)
+        finally:
+            _open = outer
+
+    return run
+
+
+def once(build: Callable[[], DataFrame], *key: object) -> DataFrame:
+    """The table that ``build`` gives, staged at its first use in a query."""
+    if _open is None:
+        return build()
+    if key not in _open:
+        _open[key] = staged(build(), str(key[0]))
+    return _open[key]
+
+
 def source(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     return entities(spark, sf_dir).where(F.col("n") == n).drop("n")
 
 
 def normalized(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
-    return normalize_source(source(spark, sf_dir, n))
+    """All sources are normalised in one pass; within a query, once."""
+    return once(lambda: normalize_source(entities(spark, sf_dir)), "normalized", sf_dir).where(F.col("n") == n).drop("n")
 
 
 def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ GBT_ROUNDS = 700
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
+    QUERIES[f.__name__] = f = E.one_query(f)
     return f
 
 
@@ -33,7 +33,7 @@ def _found(spark: SparkSession, d: str, n: int) -> DataFrame:
 
 
 def _found_both(spark: SparkSession, d: str) -> DataFrame:
-    return _found(spark, d, 2).unionByName(_found(spark, d, 3))
+    return E.once(lambda: _found(spark, d, 2).unionByName(_found(spark, d, 3)), "found", d)
 
 
 def _targets(spark: SparkSession, d: str) -> DataFrame:
@@ -41,7 +41,7 @@ def _targets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _true(spark: SparkSession, d: str) -> DataFrame:
-    return truth.truth_pairs(E.ground_truth(spark, d))
+    return E.once(lambda: truth.truth_pairs(E.ground_truth(spark, d)), "true", d)
 
 
 def _true_by_source(spark: SparkSession, d: str) -> DataFrame:
@@ -204,7 +204,7 @@ def classification_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _predicted(spark: SparkSession, d: str) -> DataFrame:
-    return scoring.accepted(_scored(spark, d), FIXTURE_THRESHOLD)
+    return E.once(lambda: scoring.accepted(_scored(spark, d), FIXTURE_THRESHOLD), "predicted", d)
 
 
 @query
@@ -242,9 +242,10 @@ def match_distribution(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def validation_rules(spark: SparkSession, d: str) -> DataFrame:
-    pairs = results.candidate_pairs_out(_predicted(spark, d))
-    found = results.matching_results(E.source(spark, d, 1), pairs)
-    return validate.validation_rules(pairs, found, *(E.source(spark, d, n) for n in (1, 2, 3)))
+    pairs = E.once(lambda: results.candidate_pairs_out(_predicted(spark, d)), "pairs", d)
+    found = E.once(lambda: results.matching_results(E.source(spark, d, 1), pairs), "results", d)
+    ids = [E.normalized(spark, d, n).select("entity_id") for n in (1, 2, 3)]
+    return validate.validation_rules(pairs, found, *ids)
 
 
 @query

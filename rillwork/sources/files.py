@@ -16,18 +16,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def read_tsv(spark: SparkSession, path: str, schema: StructType, columns: list[str] | None = None, keep_missing: bool = False) -> DataFrame:
+def file_sizes(spark: SparkSession, *paths: str) -> dict[str, int]:
+    """Bytes of each file or folder; a missing one is an error, and so is one without any bytes."""
+    sizes = {}
+    for path in paths:
+        if not path_exists(spark, path):
+            raise FileNotFoundError(path)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        sizes[path] = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop).getLength()
+        if not sizes[path]:
+            raise ValueError(f"{path} is empty")
+    return sizes
+
+
+def read_tsv(spark: SparkSession, path: str, schema: StructType, columns: list[str] | None = None, keep_missing: bool = False, multi_line: bool = False) -> DataFrame:
     """A tab-separated file with a header of exactly the schema's names in order.
 
     Strings that stand for a missing value become null unless ``keep_missing``;
-    with ``columns`` only those are parsed.
+    with ``columns`` only those are parsed. With ``multi_line`` quoted fields may hold line ends, but
+    then a file can't be split and is read by one task.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
     header = spark.read.option("sep", "\t").option("escape", '"').option("header", True).csv(path).columns
     if header != schema.fieldNames():
         raise SchemaMismatch(f"expected columns {schema.fieldNames()}, found {header} in {path}")
-    df = spark.read.schema(schema).option("sep", "\t").option("header", True).option("escape", '"').option("encoding", "UTF-8").option("multiLine", True).csv(path)
+    df = spark.read.schema(schema).option("sep", "\t").option("header", True).option("escape", '"').option("encoding", "UTF-8").option("multiLine", multi_line).csv(path)
     df = df.select(*(columns or df.columns))
     if keep_missing:
         return df
