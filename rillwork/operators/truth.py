@@ -31,6 +31,14 @@ def split_by_source(pairs: DataFrame, sources: dict[str, DataFrame]) -> DataFram
     return out
 
 
+def reconciliation(pairs: DataFrame, by_source: DataFrame) -> DataFrame:
+    """One row: all true pairs, those that a source holds, those in several, and those in none, which ``split_by_source`` leaves out."""
+    held = by_source.groupBy(*PAIR).agg(F.count_distinct("candidate_source").alias("__n"))
+    marked = pairs.distinct().join(held, PAIR, "left")
+    n = F.coalesce(F.col("__n"), F.lit(0))
+    return marked.agg(F.count(F.lit(1)).alias("true_pairs"), F.count_if(n > 0).alias("held_pairs"), F.count_if(n > 1).alias("shared_pairs"), F.count_if(n == 0).alias("lost_pairs"))
+
+
 def match_stats(truth: DataFrame) -> DataFrame:
     """One row: entities, those with none, one or more matches, the most and the mean."""
     ids = F.filter(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), lambda x: stripped(x) != "")

@@ -6,7 +6,7 @@ from rillwork.operators.blocking import BLOCKS
 from rillwork.operators.features import EQUAL, OVERLAP, FEATURES
 from rillwork.operators.normalize import ADDRESS_FORMS, NAME_FORMS
 from rillwork.operators.scoring import LINEAR
-from rillwork.plans.queries import FIXTURE_THRESHOLD, SMALL_CAP, TIGHT_CAP
+from rillwork.plans.queries import FIXTURE_THRESHOLD, REPORTED
 
 _PAIR = "source1_entity_id, candidate_entity_id"
 
@@ -181,7 +181,7 @@ _SELECT = {
     "normalize_address": f"SELECT entity_id, {', '.join(f'business_address_{k}' for k in ADDRESS_FORMS)} FROM norm",
     "normalize_country": "SELECT entity_id, country_norm FROM norm",
     **{f"block_{b.name}": f"SELECT * FROM raw2 WHERE block_name = '{b.name}'" for b in BLOCKS},
-    "block_size_filter": f"SELECT entity_id, k AS name_prefix4 FROM {_capped('n1', _key(BLOCKS[4]), SMALL_CAP)}",
+    "block_size_filter": f"SELECT entity_id, k AS name_prefix4 FROM {_capped('n1', _key(BLOCKS[4]), BLOCKS[4].cap)}",
     "candidates_s2": "SELECT * FROM found2",
     "candidates_s3": "SELECT * FROM found3",
     "candidate_stats": f"{_stats(2)} UNION ALL {_stats(3)}",
@@ -193,7 +193,11 @@ _SELECT = {
         FROM (SELECT coalesce(len(string_split(matched_entity_ids, ',')), 0) AS m FROM gt)""",
     "recall_by_source": f"""SELECT coalesce(candidate_source, 'overall') AS candidate_source, count(*) AS true_pairs, count(f) AS retrieved_pairs, count(*) - count(f) AS missed_pairs, CASE WHEN count(*) > 0 THEN round(count(f)::DOUBLE / count(*), 6) ELSE 0 END AS recall
         FROM (SELECT t.candidate_source, f.source1_entity_id AS f FROM true_by t LEFT JOIN (SELECT DISTINCT {_PAIR} FROM found) f USING ({_PAIR})) GROUP BY ROLLUP (candidate_source)""",
-    "missed_pairs": f"SELECT {_PAIR}, candidate_source FROM true_by ANTI JOIN (SELECT {_PAIR} FROM ({_raw('n2', TIGHT_CAP)} UNION ALL {_raw('n3', TIGHT_CAP)})) USING ({_PAIR})",
+    "missed_pairs": f"SELECT {_PAIR}, candidate_source FROM true_by ANTI JOIN (SELECT DISTINCT {_PAIR} FROM found) USING ({_PAIR})",
+    "missed_pairs_report": f"SELECT {_PAIR}, candidate_source FROM true_by ANTI JOIN (SELECT {_PAIR} FROM ({_block(BLOCKS[1], 'n2', None)} UNION ALL {_block(BLOCKS[1], 'n3', None)})) USING ({_PAIR}) ORDER BY ALL LIMIT {REPORTED}",
+    "gt_reconciliation": f"""SELECT count(*) AS true_pairs, count(*) FILTER (WHERE n > 0) AS held_pairs, count(*) FILTER (WHERE n > 1) AS shared_pairs, count(*) FILTER (WHERE n = 0) AS lost_pairs
+        FROM (SELECT {_PAIR}, count(DISTINCT candidate_source) AS n FROM (SELECT DISTINCT {_PAIR} FROM truth) LEFT JOIN true_by USING ({_PAIR}) GROUP BY ALL)""",
+    "sample_values": f"SELECT DISTINCT business_name FROM ent WHERE business_name IS NOT NULL ORDER BY business_name LIMIT {REPORTED}",
     "source_id_overlap": "SELECT count(*) AS shared_ids FROM (SELECT entity_id FROM ent WHERE n = 2 INTERSECT SELECT entity_id FROM ent WHERE n = 3)",
     "positive_pairs": "SELECT * FROM positives",
     "negative_sample": "SELECT * FROM negatives",

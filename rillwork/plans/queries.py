@@ -17,8 +17,8 @@ QUERIES: dict[str, Query] = {}
 
 #: A threshold that the fixture's linear scores straddle.
 FIXTURE_THRESHOLD = 0.5
-SMALL_CAP = 10
-TIGHT_CAP = 1
+#: How many rows the top-k reports list.
+REPORTED = 20
 #: The reference's limit; boosting stops before it when the validation entities no longer gain.
 GBT_ROUNDS = 700
 
@@ -82,9 +82,9 @@ for _block in blocking.BLOCKS:
 
 @query
 def block_size_filter(spark: SparkSession, d: str) -> DataFrame:
-    """Keys of the four-character block that at most SMALL_CAP rows of source 1 share."""
+    """Keys of the four-character block that its cap lets pass in source 1."""
     keys = blocking.block_keys(E.normalized(spark, d, 1)).select("entity_id", "name_prefix4")
-    return blocking.size_filter(keys, "name_prefix4", SMALL_CAP)
+    return blocking.size_filter(keys, "name_prefix4", next(b.cap for b in blocking.BLOCKS if b.name == "name_prefix4"))
 
 
 @query
@@ -135,10 +135,26 @@ def recall_by_source(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def missed_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """What candidates miss where every block takes only keys that one row of a side has."""
-    one, caps = E.normalized(spark, d, 1), {b.name: TIGHT_CAP for b in blocking.BLOCKS}
-    found = [blocking.candidates(one, E.normalized(spark, d, n), f"s{n}", caps) for n in (2, 3)]
-    return truth.missed_pairs(_true_by_source(spark, d), found[0].unionByName(found[1]))
+    """The true pairs that blocking at its production caps loses."""
+    return truth.missed_pairs(_true_by_source(spark, d), _found_both(spark, d))
+
+
+@query
+def missed_pairs_report(spark: SparkSession, d: str) -> DataFrame:
+    """The first true pairs, by id, that the exact block of addresses does not find by itself."""
+    keys = [blocking.block_keys(E.normalized(spark, d, n)) for n in (1, 2, 3)]
+    found = [blocking.block_pairs(keys[0], k, "exact_address", 3000) for k in keys[1:]]
+    return truth.missed_pairs(_true_by_source(spark, d), found[0].unionByName(found[1]), limit=REPORTED)
+
+
+@query
+def gt_reconciliation(spark: SparkSession, d: str) -> DataFrame:
+    return truth.reconciliation(_true(spark, d), _true_by_source(spark, d))
+
+
+@query
+def sample_values(spark: SparkSession, d: str) -> DataFrame:
+    return profile.sample_values(E.entities(spark, d), "business_name", REPORTED)
 
 
 @query
