@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from rillwork.functions import text as T
 from rillwork.operators.normalize import normalize_source
+from rillwork.sources.files import spread
 from rillwork.sources.staging import staged
 
 
@@ -27,7 +28,7 @@ def source_number() -> Column:
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(entity_id, business_name, business_address, country, n)`` of all documents; n is the source's number."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars"))
     name = F.regexp_extract("text", "^[^.\\n]*", 0)
     rows = docs.withColumn("business_name", name).withColumn("__rest", F.expr("substring(text, length(business_name) + 1)")).withColumn("n", source_number())
     address = F.when(F.col("__rest") != "", F.concat_ws(" ", F.col("n_chars").cast("string"), "__rest", "lang"))
@@ -81,7 +82,7 @@ def normalized(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
 
 def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(source1_entity_id, matched_entity_ids)``, a row per entity of source 1; null for no match."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))
     whole = T.compact(T.casefolded(F.col("text")))
     rows = docs.withColumn("n", source_number()).select("n", F.concat(F.lit("S"), F.col("n").cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("id"), whole.alias("whole"))
     keyed = rows.select("n", "id", F.when(F.col("whole") != "", F.md5(F.col("whole").cast("binary"))).alias("h"))

@@ -10,6 +10,8 @@ from pyspark.sql.types import StructType
 
 from rillwork.sources.schemas import GROUND_TRUTH, MISSING, SOURCE, SchemaMismatch
 
+SPLIT_BYTES = 128 << 20
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -29,6 +31,18 @@ def file_sizes(spark: SparkSession, *paths: str) -> dict[str, int]:
     return sizes
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, a table read from files, dealt out over all cores where its files are fewer and too small to be split over them.
+
+    Large tables come as they are; what is shuffled here is under ``SPLIT_BYTES`` a core.
+    """
+    spark = df.sparkSession
+    files, cores = df.inputFiles(), spark.sparkContext.defaultParallelism
+    if not 0 < len(files) < cores or sum(file_sizes(spark, *files).values()) >= cores * SPLIT_BYTES:
+        return df
+    return df.repartition(4 * cores)
+
+
 def read_tsv(spark: SparkSession, path: str, schema: StructType, columns: list[str] | None = None, keep_missing: bool = False, multi_line: bool = False) -> DataFrame:
     """A tab-separated file with a header of exactly the schema's names in order.
 
