@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from rillwork.llm.decontaminate import Phrases, PositionalIndex, benchmark_matches, contamination, drop_contaminated
+from rillwork.llm.decontaminate import Phrases, PositionalIndex, Postings, benchmark_matches, contamination, drop_contaminated, index_matches, positional_index
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -41,8 +41,8 @@ def tables(spark, docs, seed=7):
 def test_against_brute_force_whole_and_in_blocks(spark, docs):
     rows, df, items, benchmark = tables(spark, docs)
     want = brute(rows, items)
-    for size in (1 << 20, 60):
-        got = sorted([tuple(r) for r in contamination(df, benchmark, block_bytes=size).collect()], key=str)
+    for size, chars in ((1 << 20, 1 << 20), (60, 1 << 20), (1 << 20, 200), (60, 200)):
+        got = sorted([tuple(r) for r in contamination(df, benchmark, block_bytes=size, shard_chars=chars).collect()], key=str)
         assert got == want
 
 
@@ -72,3 +72,24 @@ def test_postings_and_phrases():
     assert index.postings(test.terms[b"a"]).tolist() == [0, 2, 6]
     assert index.phrase((test.terms[b"a"], test.terms[b"b"])).tolist() == [0, 2]
     assert index.doc_of(np.array([0, 3, 5, 6])).tolist() == [0, 0, 1, 1]
+
+
+def test_packed_postings_come_back():
+    for texts in (["a b a é", None, "", "b " * 1000], [None], []):
+        shard = Postings.of(texts)
+        back = Postings.unpacked(shard.n_words, shard.packed())
+        assert back.terms == shard.terms and back.counts.tolist() == shard.counts.tolist() and back.positions.tolist() == shard.positions.tolist()
+
+
+def test_one_index_serves_other_benchmarks_and_spans(spark, docs):
+    index = positional_index(docs([(1, "alpha x beta gamma"), (2, "gamma delta")]))
+    ask = lambda text, **options: {r["doc_id"]: (r["items"], r["near_items"]) for r in index_matches(index, spark.createDataFrame([("i", text)], "item_id string, text string"), **options).collect()}
+    assert ask("gamma delta") == {1: ([], []), 2: (["i"], [])}
+    assert ask("beta alpha", span=2) == {1: ([], ["i"]), 2: ([], [])}
+
+
+def test_a_very_long_text(docs, spark):
+    df = docs([(1, "w " * 300_000 + "needle in hay"), (2, "needle in hay")])
+    benchmark = spark.createDataFrame([("i", "needle in hay")], "item_id string, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["contaminated"]) for r in contamination(df, benchmark, shard_chars=1000).collect()}
+    assert got == {1: (300_003, 3, False), 2: (3, 3, True)}
