@@ -28,7 +28,9 @@ To sort only suffixes that can repeat, and to spread them over tasks:
 5. Each block removes what is covered.
 
 A block sends a repeated context once, however many copies it holds, so that no
-task receives more than one row a block for any string.
+task receives more than one row a block for any string. There is a bucket for every
+``bucket_bytes`` of blocks (and four a shuffle partition at least), so buckets
+keep their size as the table grows, and a task holds one of them at a time.
 
 Defined results: null text is empty; texts shorter than ``length`` keep all
 bytes; rows that repeat an id never remove each other's bytes; a null id is
@@ -38,7 +40,7 @@ table gives an empty result; further columns of the input are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -53,6 +55,7 @@ from rillwork.llm.common import materialize, shuffle_width
 LENGTH = 50
 GRAM = 18
 BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
 HOT_BLOCKS = 1024
 _CHUNK = 1 << 20
 _SORT_WINDOWS = 400_000
@@ -311,17 +314,23 @@ def _sent_hashes(length: int, gram: int, buckets: int) -> Callable[[_Batches], _
     return run
 
 
-def _gathered(batches: _Batches) -> dict[int, list[tuple[int, int, bytes]]]:
-    held = defaultdict(list)
+def _gathered(batches: _Batches) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
+    """Bucket by bucket: a task's rows come sorted by bucket, so one bucket is held at a time."""
+    at, held = None, []
     for b in batches:
-        for bucket, block, kind, blob in zip(*(b[c].to_pylist() for c in ("bucket", "block", "kind", "blob"))):
-            held[bucket].append((block, kind, blob))
-    return held
+        for bucket, *row in zip(*(b[c].to_pylist() for c in ("bucket", "block", "kind", "blob"))):
+            if bucket != at and held:
+                yield at, held
+                held = []
+            at = bucket
+            held.append(row)
+    if held:
+        yield at, held
 
 
 def _answered_hashes(hot_blocks: int) -> Callable[[_Batches], _Batches]:
     def run(batches: _Batches) -> _Batches:
-        for bucket, rows in _gathered(batches).items():
+        for bucket, rows in _gathered(batches):
             hashes, several = [], []
             for _, _, blob in rows:
                 six, bits = _unpack(blob, np.uint8, np.uint8)
@@ -455,7 +464,7 @@ def _sort_windows(text: HashedText, doc, offset, extra, start, kinds, group, bit
 
 def _answered_contexts(length: int, gram: int) -> Callable[[_Batches], _Batches]:
     def run(batches: _Batches) -> _Batches:
-        for bucket, rows in _gathered(batches).items():
+        for bucket, rows in _gathered(batches):
             out = [(bucket, block, kind, blob) for block, kind, blob in rows if kind == _OWN]
             parts = [(block, _unpack(blob, "<i8", np.uint8, np.uint8, np.uint8)) for block, kind, blob in rows if kind == _CONTEXTS]
             if parts:
@@ -502,7 +511,7 @@ def _removed(length: int) -> Callable[[_Batches], _Batches]:
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, hot_blocks: int = HOT_BLOCKS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, spans, kept)``, a row per input row.
 
     ``spans`` holds the maximal removed runs as little-endian int64 pairs of
@@ -510,16 +519,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     """
     if not gram <= length <= gram + 62:
         raise ValueError("length must lie between gram and gram + 62")
-    buckets = 4 * shuffle_width(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = materialize(rows.mapInArrow(_blocks(block_bytes), _BLOCK), "blocks")
+    buckets = max(4 * shuffle_width(docs.sparkSession), math.ceil(blocks.count() * block_bytes / bucket_bytes))
+
+    def dealt(messages: DataFrame) -> DataFrame:
+        return messages.repartition(math.ceil(buckets / 4), "bucket").sortWithinPartitions("bucket")
 
     def with_answers(messages: DataFrame) -> DataFrame:
         answers = messages.groupBy("block").agg(F.collect_list(F.struct("bucket", "kind", "blob")).alias("answers"))
         return blocks.join(answers, "block", "left")
 
-    hashes = blocks.mapInArrow(_sent_hashes(length, gram, buckets), _MESSAGE_DDL).repartition("bucket")
+    hashes = dealt(blocks.mapInArrow(_sent_hashes(length, gram, buckets), _MESSAGE_DDL))
     repeated = hashes.mapInArrow(_answered_hashes(hot_blocks), _MESSAGE_DDL)
-    contexts = with_answers(repeated).mapInArrow(_sent_contexts(length, gram, buckets), _MESSAGE_DDL).repartition("bucket")
+    contexts = dealt(with_answers(repeated).mapInArrow(_sent_contexts(length, gram, buckets), _MESSAGE_DDL))
     settled = contexts.mapInArrow(_answered_contexts(length, gram), _MESSAGE_DDL)
     return with_answers(settled).mapInArrow(_removed(length), "doc_id long, n_bytes long, n_removed long, n_spans long, spans binary, kept binary")

@@ -44,7 +44,7 @@ def texts(seed, n=60):
 
 def test_against_brute_force(docs):
     rows = texts(1) + [(9001, None), (9002, ""), (9003, "a" * 49), (9004, "a" * 300), (9005, "a" * 120), (9006, "ab" * 100)]
-    for options in ({}, {"block_bytes": 500}, {"block_bytes": 500, "hot_blocks": 2}, {"gram": 30, "block_bytes": 900}):
+    for options in ({}, {"block_bytes": 500}, {"block_bytes": 500, "hot_blocks": 2}, {"gram": 30, "block_bytes": 900}, {"block_bytes": 500, "bucket_bytes": 50}):
         assert run(docs(rows), **options) == brute(rows)
 
 
