@@ -524,7 +524,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     buckets = max(4 * shuffle_width(docs.sparkSession), math.ceil(blocks.count() * block_bytes / bucket_bytes))
 
     def dealt(messages: DataFrame) -> DataFrame:
-        return messages.repartition(math.ceil(buckets / 4), "bucket").sortWithinPartitions("bucket")
+        parts = math.ceil(buckets / 4)  # four buckets in each, exactly
+        return messages.repartitionById(parts, (F.col("bucket") % parts).cast("int")).sortWithinPartitions("bucket")
 
     def with_answers(messages: DataFrame) -> DataFrame:
         answers = messages.groupBy("block").agg(F.collect_list(F.struct("bucket", "kind", "blob")).alias("answers"))
