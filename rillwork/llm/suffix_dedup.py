@@ -24,7 +24,7 @@ To sort only suffixes that can repeat, and to spread them over tasks:
    Anchors found in ``hot_blocks`` blocks or more send each window by itself, to
    the bucket of the window's own hash, so that no bucket gathers a hot anchor.
 4. A bucket settles equal contexts at once and suffix-sorts the windows of anchors
-   that have several contexts. Its answer is a bit for each window.
+   that have several contexts, but for windows whose hash is the only one of its kind. Its answer is a bit for each window.
 5. Each block removes what is covered.
 
 A block sends a repeated context once, however many copies it holds, so that no
@@ -437,12 +437,13 @@ def _sort_windows(text: HashedText, doc, offset, extra, start, kinds, group, bit
     key = np.repeat(group, n) * 256 + (offset[which].astype(np.int64) - shift)
     order = np.argsort(key, kind="stable")
     which, shift, key = which[order], shift[order], key[order]
-    new = np.flatnonzero(np.diff(key, prepend=-1))
-    several = np.repeat(np.diff(np.append(new, len(key))) > 1, np.diff(np.append(new, len(key))))
-    which, shift, key = which[several], shift[several], key[several]
+    at = start[which] + shift
+    # A window whose hash no other of its key has is equal to none; the sort decides on all others.
+    _, number, count = np.unique(_mixed(text.hash(at, length) + _mixed(key.astype(np.uint64))), return_inverse=True, return_counts=True)
+    shared = count[number] > 1
+    which, shift, key, at = which[shared], shift[shared], key[shared], at[shared]
     if not len(which):
         return
-    at = start[which] + shift
     order = suffix_merge_sort(text, at, key, length)
     which, shift, key, at = which[order], shift[order], key[order], at[order]
     near = np.flatnonzero((key[1:] == key[:-1]) & (text.common(at[1:], at[:-1], length) == length)) + 1
