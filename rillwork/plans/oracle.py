@@ -179,11 +179,14 @@ def _report() -> str:
 _SELECT = {
     "normalize_name": f"SELECT entity_id, {', '.join(f'business_name_{k}' for k in NAME_FORMS)} FROM norm",
     "normalize_address": f"SELECT entity_id, {', '.join(f'business_address_{k}' for k in ADDRESS_FORMS)} FROM norm",
+    # The tables have no compatibility characters, on which NFC and NFKC differ.
+    "unicode_names": "SELECT entity_id, nfc_normalize(coalesce(business_name, '')) AS business_name_nfkc FROM ent",
     "normalize_country": "SELECT entity_id, country_norm FROM norm",
     **{f"block_{b.name}": f"SELECT * FROM raw2 WHERE block_name = '{b.name}'" for b in BLOCKS},
     "block_size_filter": f"SELECT entity_id, k AS name_prefix4 FROM {_capped('n1', _key(BLOCKS[4]), BLOCKS[4].cap)}",
     "candidates_s2": "SELECT * FROM found2",
     "candidates_s3": "SELECT * FROM found3",
+    "candidates_none": "SELECT * FROM found2 WHERE false",
     "candidate_stats": f"{_stats(2)} UNION ALL {_stats(3)}",
     "ground_truth": "SELECT * FROM gt",
     "gt_pairs": f"SELECT {_PAIR} FROM truth",
@@ -201,6 +204,8 @@ _SELECT = {
     "source_id_overlap": "SELECT count(*) AS shared_ids FROM (SELECT entity_id FROM ent WHERE n = 2 INTERSECT SELECT entity_id FROM ent WHERE n = 3)",
     "positive_pairs": "SELECT * FROM positives",
     "negative_sample": "SELECT * FROM negatives",
+    "shuffled_pairs": f"""SELECT {_PAIR}, label, row_number() OVER (ORDER BY md5(source1_entity_id || '|' || candidate_entity_id), {_PAIR}) AS place
+        FROM (SELECT {_PAIR}, 1 AS label FROM positives UNION ALL SELECT {_PAIR}, 0 AS label FROM negatives)""",
     "pair_features_train": _train_features(),
     "pair_features_score": f"SELECT {_PAIR}, candidate_source, {', '.join(FEATURES)} FROM scored WHERE candidate_source = 's2'",
     "entity_split": "SELECT * FROM held",
@@ -212,6 +217,7 @@ _SELECT = {
     "entity_metrics": _metrics(""),
     "validation_metrics": _metrics("JOIN held USING (source1_entity_id) WHERE split = 'validation'"),
     "candidate_pairs_out": "SELECT * FROM pairs_out",
+    "ordered_pairs_out": f"SELECT *, row_number() OVER (ORDER BY source1_entity_id, candidate_source, candidate_entity_id) AS place FROM pairs_out",
     "matching_results": "SELECT * FROM results",
     "match_distribution": "SELECT CASE WHEN matched_entity_ids = '' THEN 0 ELSE len(string_split(matched_entity_ids, ',')) END AS n_matches, count(*) AS entities FROM results GROUP BY 1",
     "validation_rules": _rules(),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillwork.functions.text import is_blank
+from rillwork.functions.text import is_blank, unicode_normalize
 from rillwork.operators import blocking, evaluate, features, profile, results, sampling, scoring, truth, validate
 from rillwork.operators import normalize as norm
 from rillwork.plans import entities as E
@@ -62,6 +62,12 @@ def normalize_address(spark: SparkSession, d: str) -> DataFrame:
     return norm.normalize_address(E.entities(spark, d)).select("entity_id", *(f"business_address_{k}" for k in norm.ADDRESS_FORMS))
 
 
+@query
+def unicode_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names after NFKC alone, which keeps case."""
+    return E.entities(spark, d).select("entity_id", unicode_normalize(F.col("business_name")).alias("business_name_nfkc"))
+
+
 @query
 def normalize_country(spark: SparkSession, d: str) -> DataFrame:
     return norm.normalize_country(E.entities(spark, d)).select("entity_id", "country_norm")
@@ -97,6 +103,13 @@ def candidates_s3(spark: SparkSession, d: str) -> DataFrame:
     return _with_blocks_joined(_found(spark, d, 3))
 
 
+@query
+def candidates_none(spark: SparkSession, d: str) -> DataFrame:
+    """The typed empty result: no key passes caps of zero."""
+    caps = {b.name: 0 for b in blocking.BLOCKS}
+    return _with_blocks_joined(blocking.candidates(E.normalized(spark, d, 1), E.normalized(spark, d, 2), "s2", caps))
+
+
 @query
 def candidate_stats(spark: SparkSession, d: str) -> DataFrame:
     one = E.normalized(spark, d, 1)
@@ -172,6 +185,12 @@ def negative_sample(spark: SparkSession, d: str) -> DataFrame:
     return sampling.negative_sample(_true(spark, d), _found_both(spark, d))
 
 
+@query
+def shuffled_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The labelled pairs in their fixed random order, with each pair's place in it."""
+    return results.placed(sampling.labelled_pairs(_true(spark, d), _found_both(spark, d)).select(*blocking.PAIR, F.col("label").cast("int").alias("label")), *sampling.random_order())
+
+
 @query
 def pair_features_train(spark: SparkSession, d: str) -> DataFrame:
     pairs = sampling.labelled_pairs(_true(spark, d), _found_both(spark, d)).withColumn("label", F.col("label").cast("int"))
@@ -246,6 +265,12 @@ def candidate_pairs_out(spark: SparkSession, d: str) -> DataFrame:
     return results.candidate_pairs_out(*(scored.where(F.col("candidate_source") == s) for s in results.SOURCE_ORDER))
 
 
+@query
+def ordered_pairs_out(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs file in its order, with each pair's place in it."""
+    return results.placed(candidate_pairs_out(spark, d), *results.FILE_ORDER)
+
+
 @query
 def matching_results(spark: SparkSession, d: str) -> DataFrame:
     return results.matching_results(E.source(spark, d, 1), results.candidate_pairs_out(_predicted(spark, d)))
