@@ -30,7 +30,9 @@ mapped, and the pieces are joined again.
 Defined results: a null text stays null with no replacement; an empty text stays
 empty; values that fail validation stay; overlapping candidates are taken from
 the left, the longest format first, but a card candidate ends before a valid phone, social security number
-or ISO date (a card after another number in one run is not looked for again); rows that repeat get equal results; an empty
+or ISO date, and before a blank and a whole card of 16 digits (together or in fours); of a candidate without a valid Luhn digit, a card of
+16 or 15 digits in the usual groups that begins it and ends at a separator is taken, if its own is valid (fours of digits
+on both sides of a card hide it); rows that repeat get equal results; an empty
 table gives an empty result; further columns are ignored.
 """
 
@@ -53,7 +55,11 @@ _FIRST, _LAST = r"(?<![0-9])(?<![0-9][.-])", r"(?![0-9])(?![.-][0-9])"
 _SURE_PHONE = r"(?:1[ .-]?)?[2-9]\d{2}[ .-][2-9]\d{2}[ .-]\d{4}"
 _SURE_SSN = r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}"
 _SURE_DATE = r"(?:1[89]|2[01])\d{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])"
-_WHOLE_CARD = _CARD.replace("[ -]?", f"(?:[ -](?!(?:{_SURE_PHONE}|{_SURE_SSN}|{_SURE_DATE}){_LAST}))?")
+#: A card by its layout alone, which a pseudonym keeps; one four more would leave open where it begins.
+_SURE_CARD = r"(?:\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{16})(?!\d)(?!-\d)(?! \d{4}(?!\d))"
+_WHOLE_CARD = _CARD.replace("[ -]?", f"(?:(?:-| (?!{_SURE_CARD}))(?!(?:{_SURE_PHONE}|{_SURE_SSN}|{_SURE_DATE}){_LAST}))?")
+#: A card that another number follows in one candidate.
+_HEAD_CARD = r"^(?:\d{4}(?:[ -]?\d{4}){3}|\d{4}[ -]?\d{6}[ -]?\d{5})(?=[ -])"
 
 #: A run before an @ may go on after a dot or the like, so the look-ahead admits what an address's name may hold.
 PATTERN = f"{_EMAIL}|{_FIRST}(?:{_DATE}|{_IP}|{_SSN}|{_SURE_PHONE}|{_WHOLE_CARD}|{_PHONE}){_LAST}"
@@ -115,7 +121,13 @@ def _card(key: str, undo: bool) -> str:
     # Where its groups can look like another format, the permutation is repeated until the card reads as one again.
     walk = f"aggregate(sequence(1, 64), {once('m')}, (c, turn) -> if(regexp_extract(c, {_q(PATTERN)}, 0) = c, c, {once('c')}))"
     mixed = f"m rlike {_q(r'[0-9]{3}[ -][0-9]{2,3}[ -][0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2}')}"
-    return _let("d", _digits("m"), f"case when {_luhn('d')} % 10 <> 0 then m when {mixed} then {walk} else {once('m')} end")
+    # A card that begins a longer candidate: repeated until the whole has no valid Luhn digit, as before, so that undo takes the same part.
+    head = lambda c: f"regexp_extract({c}, {_q(_HEAD_CARD)}, 0)"
+    invalid = lambda c: _let("w", _digits(c), f"{_luhn('w')} % 10 <> 0")
+    turned = lambda c: _let("c0", c, _let("h", head("c0"), f"concat({once('h')}, substring(c0, length(h) + 1))"))
+    part = f"aggregate(sequence(1, 64), {turned('m')}, (c, turn) -> if(regexp_extract(c, {_q(PATTERN)}, 0) = c and {invalid('c')}, c, {turned('c')}))"
+    begins = _let("h", head("m"), f"h <> '' and not {invalid('h')}")
+    return _let("d", _digits("m"), f"case when {_luhn('d')} % 10 <> 0 then if({begins}, {part}, m) when {mixed} then {walk} else {once('m')} end")
 
 
 def _date(key: str, undo: bool) -> str:

@@ -138,6 +138,24 @@ def test_valid_values_beside_other_numbers_are_replaced(spark, docs):
     assert [back[i] for i in range(len(texts))] == texts
 
 
+def test_cards_beside_other_numbers_are_replaced(spark, docs):
+    card, amex = "4111 1111 1111 1111", "3782 822463 10005"
+    texts = [f"2024 {card}", "3 4111111111111111", f"5 {card} 1", f"{card} 123", "4111111111111111 12", f"{amex} 2024", f"{card} 5500 0000 0000 0004", "1234 4111-1111-1111-1111", f"2024 {card[:-1]}2"]
+    values = [card, "4111111111111111", card, card, "4111111111111111", amex, card, "4111-1111-1111-1111", "none"]
+    texts += [f"{card} {n:03}" for n in range(200)]  # among which some are valid as a whole
+    values += [card] * 200
+    new = pseudonymise(docs(list(enumerate(texts))), "key")
+    got = {r["doc_id"]: r for r in new.collect()}
+    for i, v in enumerate(values):
+        assert got[i]["n_replaced"] == (2 if i == 6 else 0 if v == "none" else 1) and v not in got[i]["text"]
+        assert re.sub("[0-9]", "9", got[i]["text"]) == re.sub("[0-9]", "9", texts[i])
+    fixed = [i for i in range(9, 209) if not luhn(re.sub(r"\D", "", texts[i]))]
+    assert len(fixed) == 180 and all(luhn(got[i]["text"][:19].replace(" ", "")) and got[i]["text"][19:] == texts[i][19:] for i in fixed)
+    assert got[0]["text"].startswith("2024 ") and got[1]["text"].startswith("3 ") and got[5]["text"].endswith(" 2024")
+    back = {r["doc_id"]: r["text"] for r in pseudonymise(new.select("doc_id", "text"), "key", undo=True).collect()}
+    assert [back[i] for i in range(len(texts))] == texts
+
+
 def feistel(key, kind, size, a, b, range_a, range_b):
     """The rounds again, in plain Python."""
     for r in range(ROUNDS):
