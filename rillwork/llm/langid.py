@@ -35,6 +35,7 @@ TRAIN_WINDOWS = 6000
 MAX_ROWS = 40_000
 EXCERPT = 4096
 EVIDENCE = 8.0
+DRAW_BITS = 12
 SEED = 7
 _BATCH_WINDOWS = 2048
 
@@ -180,7 +181,7 @@ def train(labelled: DataFrame, per_lang: int = PER_LANG, train_windows: int = TR
     if not langs:
         return None
     share = max(1, min(per_lang, max_rows // langs))
-    drawn = rows.select("lang", "draw").distinct().withColumn("at", F.row_number().over(W.partitionBy("lang").orderBy("draw"))).where(F.col("at") <= share).select("lang", "draw")
+    drawn = _smallest(rows.select("lang", "draw").distinct(), share)
     at = F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.greatest(F.length("text") - excerpt + 1, F.lit(1))) + 1
     cut = F.col("text").substr(at.cast("int"), F.lit(excerpt))
     sample = rows.join(F.broadcast(drawn), ["lang", "draw"]).groupBy("lang", "draw").agg(F.min(cut).alias("text")).select("lang", "text").collect()
@@ -201,6 +202,21 @@ def train(labelled: DataFrame, per_lang: int = PER_LANG, train_windows: int = TR
     return ByteBiGRU(labels, seed=seed).fit(np.array(x).T.copy(), np.array(y))
 
 
+def _smallest(drawn: DataFrame, share: int) -> DataFrame:
+    """The ``share`` smallest values of ``draw`` of each language of ``drawn(lang, draw)``.
+
+    The draw is uniform, so counts of its first ``DRAW_BITS`` bits tell where a language's share ends, and only the
+    values up to there, about ``share`` and a bucket of a common language, meet in one task.
+    """
+    bucketed = drawn.withColumn("bucket", F.shiftright("draw", 64 - DRAW_BITS))
+    before = W.partitionBy("lang").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    counts = bucketed.groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    ends = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < share).groupBy("lang").agg(F.max("bucket").alias("end"))
+    near = bucketed.join(F.broadcast(ends), "lang").where(F.col("bucket") <= F.col("end"))
+    ranked = near.withColumn("at", F.row_number().over(W.partitionBy("lang").orderBy("draw")))
+    return ranked.where(F.col("at") <= share).select("lang", "draw")
+
+
 def _labelled(model, keep: tuple[str, str] | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """keep: all columns are passed on, and the result's two added by these names."""
 

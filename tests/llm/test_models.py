@@ -38,6 +38,13 @@ def test_language_of_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_the_sample_holds_the_smallest_draws_of_each_language(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "a", "a", "a", "b"]), rng.getrandbits(64) - 2**63) for _ in range(5000)] + [("c", 5), ("c", -(2**63)), ("d", 2**63 - 1)]
+    got = [tuple(r) for r in langid._smallest(spark.createDataFrame(rows, "lang string, draw long"), 30).collect()]
+    assert sorted(got) == [r for lang in "abcd" for r in sorted(x for x in rows if x[0] == lang)[:30]]
+
+
 def test_texts_without_letters_and_without_labels(spark, docs):
     df = docs([(1, None), (2, ""), (3, "12 !!"), (4, "été"), (None, "the"), (4, "été")])
     net = langid.ByteBiGRU(["x", "y"])
