@@ -39,6 +39,8 @@ BLOCKS = (
 
 PAIR = ["source1_entity_id", "candidate_entity_id"]
 KEY = ["block", "k1", "k2"]
+#: At most so many of the most frequent keys over their cap travel to the rows; any other key has at most 1 / MAX_HOT of them.
+MAX_HOT = 10_000
 
 
 def block_keys(normalized: DataFrame) -> DataFrame:
@@ -47,12 +49,22 @@ def block_keys(normalized: DataFrame) -> DataFrame:
     return normalized.select("entity_id", *(b.key.alias(b.name) for b in BLOCKS))
 
 
+def _within_cap(rows: DataFrame, key: list[str], cap: Column) -> DataFrame:
+    """The rows whose key, which is never null, is shared by at most ``cap`` of them.
+
+    Counts combine map-side. The most frequent keys over the cap are dropped where their rows are read, by a
+    broadcast of bounded size, so that no hot key's rows meet in one task; a semi join drops the rest.
+    """
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.where(F.col("__n") > cap).orderBy(F.desc("__n"), *key).limit(MAX_HOT).select(*key)
+    accepted = counts.where(F.col("__n") <= cap).select(*key)
+    return rows.join(F.broadcast(hot), key, "left_anti").join(accepted, key, "left_semi")
+
+
 def size_filter(df: DataFrame, key: str, cap: int) -> DataFrame:
     """The rows whose key is neither null nor empty and is shared by at most ``cap`` rows."""
     keyed = df.where(F.col(key).isNotNull() & (F.length(key) > 0))
-    # Counts combine map-side, and the semi join drops heavy keys before any of their rows pair up.
-    accepted = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") <= cap).select(key)
-    return keyed.join(accepted, key, "left_semi")
+    return _within_cap(keyed, [key], F.lit(cap))
 
 
 def block_pairs(s1_keys: DataFrame, target_keys: DataFrame, block: str, cap: int) -> DataFrame:
@@ -72,8 +84,7 @@ def _long(normalized: DataFrame, name: str, caps: dict[str, int]) -> DataFrame:
     rows = keyed.select(F.col("entity_id").alias(name), F.explode(each).alias("e")).where(F.col("e.text").isNotNull() & (F.length("e.text") > 0))
     rows = rows.select(name, "e.block", F.xxhash64("e.text").alias("k1"), F.xxhash64(F.lit("2"), "e.text").alias("k2"))
     cap = F.element_at(F.array(*(F.lit(caps.get(b.name, b.cap)) for b in BLOCKS)), F.col("block") + 1)
-    accepted = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") <= cap).select(*KEY)
-    return rows.join(accepted, KEY, "left_semi")
+    return _within_cap(rows, KEY, cap)
 
 
 def raw_pairs(s1: DataFrame, target: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:

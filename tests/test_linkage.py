@@ -45,6 +45,14 @@ def test_cap_is_inclusive_and_by_side(spark):
     assert ("a", "a") not in rows(blocking.block_pairs(keys, other, "exact_name", 3), "source1_entity_id", "candidate_entity_id")
 
 
+def test_keys_over_the_cap_go_whether_they_travel_or_not(spark, monkeypatch):
+    keys = [(f"{k}-{i}", k) for k, n in (("hot", 9), ("warm", 6), ("fits", 3), ("one", 1)) for i in range(n)]
+    df = spark.createDataFrame(keys, "entity_id string, exact_name string")
+    for most in (1, 10_000):
+        monkeypatch.setattr(blocking, "MAX_HOT", most)
+        assert [r[0][:4] for r in rows(blocking.size_filter(df, "exact_name", 3), "entity_id")] == ["fits"] * 3 + ["one-"]
+
+
 def test_no_rows_keep_the_schema(sides):
     none = blocking.candidates(sides[0].limit(0), sides[1], "s2")
     assert none.count() == 0 and none.columns == [*blocking.PAIR, "candidate_source", "block_support_count", "blocks"]
