@@ -68,3 +68,24 @@ def pair_features(pairs: DataFrame, s1: DataFrame, target: DataFrame, how: str =
     joined = pairs.join(side(s1, "s1", PAIR[0]), PAIR[0], how).join(side(target, "s2", PAIR[1]), PAIR[1], how)
     kept = [c for c in pairs.columns if c != "block_support_count"]
     return joined.select(*kept, *feature_columns(null_as_empty=how == "inner"))
+
+
+_LENGTH = {"name_len": "business_name_norm", "address_len": "business_address_norm"}
+
+
+def facts(wanted: list[str]) -> list[Column]:
+    """What of a normalised row the ``wanted`` features need: 64 bits of hash for a text, for each token of a set, and lengths. Nulls count as empty."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    hashed = [F.xxhash64(text(c)).alias(f) for f, c in EQUAL.items() if f in wanted]
+    sets = [F.array_distinct(F.transform(F.split(F.trim(text(c)), " "), lambda t: F.xxhash64(t))).alias(f) for f, c in OVERLAP.items() if f in wanted]
+    lengths = [F.length(text(c)).alias(f) for f, c in _LENGTH.items() if any(f[:-4] in w and "len" in w for w in wanted)]
+    return [*hashed, *sets, *lengths]
+
+
+def of_facts(wanted: list[str]) -> list[Column]:
+    """The ``wanted`` features, in order, from the facts of both sides (``s1_``, ``s2_``) and ``block_support_count``."""
+    s1, s2 = (lambda f, p=p: F.col(f"{p}_{f}") for p in ("s1", "s2"))
+    found = {f: s1(f) == s2(f) for f in EQUAL} | {f: F.size(F.array_intersect(s1(f), s2(f))) for f in OVERLAP}
+    found |= {"block_support_count_feature": F.col("block_support_count")} | {f"{p}_{f}": F.col(f"{p}_{f}") for p in ("s1", "s2") for f in _LENGTH}
+    found |= {"name_length_diff": F.abs(s1("name_len") - s2("name_len")), "address_length_diff": F.abs(s1("address_len") - s2("address_len"))}
+    return [found[f].cast("int").alias(f) for f in FEATURES if f in wanted]

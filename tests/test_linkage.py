@@ -202,3 +202,33 @@ def test_the_registered_trees_are_the_production_ones(spark, monkeypatch):
     with pytest.raises(InterruptedError):
         queries.gbt_scored_pairs(spark, "/root/testdata/sf0.001")
     assert asked["split"] is not None and asked["rounds"] == 700 and not asked["options"]
+
+
+def test_features_are_worked_out_where_pairs_are_found(spark):
+    """Nested blocks of which only some are under their caps, repeated ids with other rows, short and empty keys: as candidates joined with their rows."""
+    names = ["abcdefgh", "abcdefgh", "abcdef zz", "abcd", "ab", "", None, "zz abcdef", "Ä bcd 7", "abcdxx"]
+    rows = [(f"S{n}-{k % 17}", names[(k * n + k // 5) % len(names)], f"{k % 4} Road {1000 + k % 3}", "de" if k % 2 else None, n) for n in (1, 2, 3) for k in range(20)]
+    every = normalize_source(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string, n int")).cache()
+    side = {n: every.where(F.col("n") == n).drop("n") for n in (1, 2, 3)}
+    keyed = blocking.keyed(every, "n", *features.facts(features.FEATURES))
+    carried = [c for c in keyed.columns if c not in ("entity_id", "n", "keys")]
+    for caps in ({"name_prefix4": 6, "name_prefix6": 2, "numeric_address": 1}, {"name_prefix4": 0, "name_prefix6": 4, "exact_address": 0}):
+        linked = blocking.linked_pairs(keyed, {2: "s2", 3: "s3"}, carried, caps)
+        got = linked.select(*blocking.PAIR, "candidate_source", *features.of_facts(features.FEATURES))
+        want = [features.pair_features(blocking.candidates(side[1], side[n], f"s{n}", caps).drop("blocks"), side[1], side[n]) for n in (2, 3)]
+        want = want[0].unionByName(want[1])
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def test_candidate_pairs_do_not_travel(spark):
+    """Where pairs are scored, no exchange stands above the join that makes them, and nothing but hashes and lengths is carried."""
+    from rillwork.plans.queries import QUERIES
+
+    for name in ("scored_pairs", "pair_features_score"):
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not {"business_address_norm", "business_address_tokens"} & set(plan.replace("#", " ").split())
+        physical = df._jdf.queryExecution().sparkPlan().toString().splitlines()
+        join = next(k for k, x in enumerate(physical) if "Join" in x)
+        assert not any("Aggregate" in x or "Exchange" in x for x in physical[:join])
