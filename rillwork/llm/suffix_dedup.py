@@ -21,8 +21,9 @@ To sort only suffixes that can repeat, and to spread them over tasks:
    once for each distinct context, from its smallest document; copies
    inside the block are settled there. A context goes to the bucket of its
    anchor's hash, where all windows equal to its own arrive too.
-   Anchors found in ``hot_blocks`` blocks or more send each window by itself, to
-   the bucket of the window's own hash, so that no bucket gathers a hot anchor.
+   Anchors found in ``hot_blocks`` blocks or more, and with ``hot_contexts`` contexts or more (distinct
+   ones of each block), send each window by itself, to the bucket of the window's own hash, so that
+   no bucket gathers a hot anchor. Many blocks alone don't make one: what counts is what a bucket would hold.
 4. A bucket settles equal contexts at once and suffix-sorts the windows of anchors
    that have several contexts, but for windows whose hash is the only one of its kind. Its answer is a bit for each window.
 5. Each block removes what is covered.
@@ -57,6 +58,7 @@ GRAM = 18
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 HOT_BLOCKS = 1024
+HOT_CONTEXTS = 1 << 16
 _CHUNK = 1 << 20
 _SORT_WINDOWS = 400_000
 
@@ -304,12 +306,28 @@ _MESSAGE_DDL = "bucket long, block long, kind int, blob binary"
 _HASHES, _CONTEXTS, _OWN, _ANSWER = range(4)
 
 
+def _contexts(x: _Block, length: int) -> np.ndarray:
+    """How many distinct contexts each distinct anchor hash has in the block."""
+    count = np.bincount(x.number, minlength=len(x.distinct))
+    some = np.flatnonzero(count[x.number] > 1)
+    if len(some):
+        low, size, number = x.low[some], x.high[some] - x.low[some] + length, x.number[some]
+        h = _mixed(HashedText(x.data).hash(low, size) + _mixed((x.at[some] - low).astype(np.uint64) * _U(256) + size.astype(np.uint64)))
+        order = np.lexsort((h, number))
+        h, number = h[order], number[order]
+        new = np.concatenate(([True], (h[1:] != h[:-1]) | (number[1:] != number[:-1])))
+        several = np.bincount(number[new], minlength=len(count))
+        count = np.where(count > 1, several, count)
+    return np.minimum(count, 0xFFFF).astype("<u2")
+
+
 def _sent_hashes(length: int, gram: int, buckets: int) -> Callable[[_Batches], _Batches]:
     def run(batches: _Batches) -> _Batches:
         for b in batches:
             for _, block, x in _opened(b, length, gram, buckets):
                 six = x.distinct.view(np.uint8).reshape(-1, 8)[:, 2:]  # the low bits follow from the bucket only in part, the high ones suffice
-                yield _rows([(k, block, _HASHES, _pack(np.ascontiguousarray(six[part]), np.packbits(x.several[part]))) for k, part in _by_bucket(x.bucket)], _MESSAGE)
+                contexts = _contexts(x, length)
+                yield _rows([(k, block, _HASHES, _pack(np.ascontiguousarray(six[part]), np.packbits(x.several[part]), contexts[part])) for k, part in _by_bucket(x.bucket)], _MESSAGE)
 
     return run
 
@@ -328,12 +346,13 @@ def _gathered(batches: _Batches) -> Iterator[tuple[int, list[tuple[int, int, byt
         yield at, held
 
 
-def _answered_hashes(hot_blocks: int) -> Callable[[_Batches], _Batches]:
+def _answered_hashes(hot_blocks: int, hot_contexts: int) -> Callable[[_Batches], _Batches]:
     def run(batches: _Batches) -> _Batches:
         for bucket, rows in _gathered(batches):
-            hashes, several = [], []
+            hashes, several, contexts = [], [], []
             for _, _, blob in rows:
-                six, bits = _unpack(blob, np.uint8, np.uint8)
+                six, bits, n = _unpack(blob, np.uint8, np.uint8, "<u2")
+                contexts.append(n)
                 wide = np.zeros((len(six) // 6, 8), np.uint8)
                 wide[:, :6] = six.reshape(-1, 6)
                 hashes.append(wide.view(np.uint64).ravel())
@@ -342,7 +361,8 @@ def _answered_hashes(hot_blocks: int) -> Callable[[_Batches], _Batches]:
             _, number, count = np.unique(h, return_inverse=True, return_counts=True)
             known = np.zeros(len(count), bool)
             known[number[s]] = True
-            repeated, hot = (known | (count > 1))[number], (count >= hot_blocks)[number]
+            held = np.bincount(number, np.concatenate(contexts), len(count))  # what a bucket would gather of each
+            repeated, hot = (known | (count > 1))[number], ((count >= hot_blocks) & (held >= hot_contexts))[number]
             at, out = 0, []
             for (block, _, _), part in zip(rows, hashes):
                 mine = slice(at, at + len(part))
@@ -512,7 +532,7 @@ def _removed(length: int) -> Callable[[_Batches], _Batches]:
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, hot_blocks: int = HOT_BLOCKS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, hot_blocks: int = HOT_BLOCKS, bucket_bytes: int = BUCKET_BYTES, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, spans, kept)``, a row per input row.
 
     ``spans`` holds the maximal removed runs as little-endian int64 pairs of
@@ -533,7 +553,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
         return blocks.join(answers, "block", "left")
 
     hashes = dealt(blocks.mapInArrow(_sent_hashes(length, gram, buckets), _MESSAGE_DDL))
-    repeated = hashes.mapInArrow(_answered_hashes(hot_blocks), _MESSAGE_DDL)
+    repeated = hashes.mapInArrow(_answered_hashes(hot_blocks, hot_contexts), _MESSAGE_DDL)
     contexts = dealt(with_answers(repeated).mapInArrow(_sent_contexts(length, gram, buckets), _MESSAGE_DDL))
     settled = contexts.mapInArrow(_answered_contexts(length, gram), _MESSAGE_DDL)
     return with_answers(settled).mapInArrow(_removed(length), "doc_id long, n_bytes long, n_removed long, n_spans long, spans binary, kept binary")

@@ -74,3 +74,20 @@ def test_merge_sort_orders_suffixes(parts, limit):
 def test_common_extension():
     text = S.HashedText(np.frombuffer(b"abcabdabcabx", np.uint8))
     assert text.common(np.array([0, 0, 0]), np.array([3, 6, 1]), 5).tolist() == [2, 5, 0]
+
+
+def test_an_anchor_of_many_blocks_and_few_contexts_is_not_hot(docs):
+    """Only what a bucket would gather makes an anchor hot; either way the result is the same."""
+    anchors = np.array([5 << 20, 7 << 20], np.uint64)
+    six = np.ascontiguousarray(anchors.view(np.uint8).reshape(-1, 8)[:, 2:])
+
+    def hot(contexts):
+        blob = S._pack(six, np.packbits([False, False]), np.array(contexts, "<u2"))
+        batch = S._rows([(0, block, S._HASHES, blob) for block in range(4)], S._MESSAGE)
+        (answer,) = S._answered_hashes(4, 100)(iter([batch]))
+        return [np.unpackbits(S._unpack(x, np.uint8, np.uint8)[1], count=2).tolist() for x in answer["blob"].to_pylist()]
+
+    assert hot([1, 25]) == [[0, 1]] * 4 and hot([24, 1]) == [[0, 0]] * 4
+    rows = texts(1) + [(9004, "a" * 300), (9006, "ab" * 100)]
+    for most in (1, 20):
+        assert run(docs(rows), block_bytes=500, hot_blocks=2, hot_contexts=most) == brute(rows)
