@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,8 +86,13 @@ def facts(wanted: list[str]) -> list[Column]:
 
 def of_facts(wanted: list[str]) -> list[Column]:
     """The ``wanted`` features, in order, from the facts of both sides (``s1_``, ``s2_``) and ``block_support_count``."""
-    s1, s2 = (lambda f, p=p: F.col(f"{p}_{f}") for p in ("s1", "s2"))
-    found = {f: s1(f) == s2(f) for f in EQUAL} | {f: F.size(F.array_intersect(s1(f), s2(f))) for f in OVERLAP}
-    found |= {"block_support_count_feature": F.col("block_support_count")} | {f"{p}_{f}": F.col(f"{p}_{f}") for p in ("s1", "s2") for f in _LENGTH}
-    found |= {"name_length_diff": F.abs(s1("name_len") - s2("name_len")), "address_length_diff": F.abs(s1("address_len") - s2("address_len"))}
-    return [found[f].cast("int").alias(f) for f in FEATURES if f in wanted]
+    return [c.alias(f) for f, c in by_name(wanted, *(lambda f, p=p: F.col(f"{p}_{f}") for p in ("s1", "s2"))).items()]
+
+
+def by_name(wanted: list[str], s1: Callable[[str], Column], s2: Callable[[str], Column]) -> dict[str, Column]:
+    """The ``wanted`` features, in order, from what gives a side's fact by its name, and ``block_support_count``."""
+    sides = {"s1": s1, "s2": s2}
+    found = {f: lambda f=f: s1(f) == s2(f) for f in EQUAL} | {f: lambda f=f: F.size(F.array_intersect(s1(f), s2(f))) for f in OVERLAP}
+    found |= {"block_support_count_feature": lambda: F.col("block_support_count")} | {f"{p}_{f}": lambda p=p, f=f: sides[p](f) for p in sides for f in _LENGTH}
+    found |= {f"{f[:-4]}_length_diff": lambda f=f: F.abs(s1(f) - s2(f)) for f in _LENGTH}
+    return {f: found[f]().cast("int") for f in FEATURES if f in wanted}

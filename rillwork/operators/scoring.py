@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,8 +24,12 @@ FIRST_PERCENT, LAST_PERCENT = 5, 95
 
 def linear_score(features: DataFrame, weights: dict[str, int] = LINEAR) -> DataFrame:
     """``features`` with ``match_probability``, the weighted sum in hundredths, held between 0 and 1."""
-    total = sum((F.col(f) * w for f, w in weights.items()), F.lit(0))
-    return features.withColumn("match_probability", F.least(F.lit(100), F.greatest(F.lit(0), total)) / 100.0)
+    return features.withColumn("match_probability", linear({f: F.col(f) for f in weights}, weights))
+
+
+def linear(feature: dict[str, Column], weights: dict[str, int] = LINEAR) -> Column:
+    total = sum((feature[f] * w for f, w in weights.items()), F.lit(0))
+    return F.least(F.lit(100), F.greatest(F.lit(0), total)) / 100.0
 
 
 def accepted(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

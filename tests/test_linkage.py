@@ -232,3 +232,46 @@ def test_candidate_pairs_do_not_travel(spark):
         physical = df._jdf.queryExecution().sparkPlan().toString().splitlines()
         join = next(k for k, x in enumerate(physical) if "Join" in x)
         assert not any("Aggregate" in x or "Exchange" in x for x in physical[:join])
+
+
+def _repeated(spark, path):
+    """Documents of which some repeat an id with other texts, and some copy a text under another feed."""
+    texts = ["Acme corp abc. Main street 12, 10115", "Acme corp abc. Main street 12, 10115", "Acme corp abc. Oak road 7", "Acme corp xyz. Main street 12, 10115", "Beta. 1", "", None, "Acme corp abc"]
+    rows = [(k % 19, texts[(k * k + k // 7) % len(texts)], "en" if k % 3 else None, f"feed-{k % 3}", k % 2) for k in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+ACCEPTED = ("candidate_pairs_out",)
+
+
+def test_accepted_pairs_of_repeated_ids(spark, tmp_path):
+    import duckdb
+
+    from rillwork.plans.oracle import ORACLE
+
+    d = _repeated(spark, tmp_path)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet/*.parquet'")
+    plain = lambda rs: sorted([tuple(f"{v:.9g}" if isinstance(v, (int, float)) else str(v) for v in r) for r in rs])
+    for name in ACCEPTED:
+        df = queries.QUERIES[name](spark, d)
+        cols = sorted(df.columns)
+        assert plain(df.select(*cols).collect()) == plain(duck.sql(f"SELECT {', '.join(cols)} FROM ({ORACLE[name]})").fetchall()) != [], name
+
+
+@pytest.mark.parametrize("name", ACCEPTED)
+def test_accepted_and_true_pairs_are_neither_staged_nor_grouped_by_pair(spark, monkeypatch, name):
+    """Of pairs, only the lists of the ordered file and of the results travel, once each."""
+    from rillwork.plans import entities
+
+    labels, kept = [], entities.staged
+    monkeypatch.setattr(entities, "staged", lambda df, label: labels.append(label) or kept(df, label))
+    df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert not {"predicted", "true"} & set(labels) and ("pairs" in labels) == (name == "ordered_pairs_out")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Aggregate [source1_entity_id" in x and "candidate_entity_id" in x.split("],")[0]]
+    if name == "candidate_pairs_out":
+        physical = df._jdf.queryExecution().sparkPlan().toString().splitlines()
+        join = next(k for k, x in enumerate(physical) if "Join" in x)
+        assert not any("Aggregate" in x or "Exchange" in x for x in physical[:join])
