@@ -17,17 +17,14 @@ def f_beta(precision: Column, recall: Column, beta: float = 0.5) -> Column:
     return ratio((1 + square) * precision * recall, square * precision + recall)
 
 
-def entity_scores(predicted: Column, actual: Column) -> dict[str, Column]:
-    """tp, fp, fn and precision, recall, f05 of two arrays of ids, taken as sets.
+def count_scores(tp: Column, predicted: Column, actual: Column) -> dict[str, Column]:
+    """tp, fp, fn and precision, recall, f05 of two sets of ids, from their sizes and that of what they share, ``tp``.
 
     Both empty: all 1. Nothing predicted where something is true: all 0.
     Something predicted where nothing is true: recall 1, precision and f05 0.
     """
-    tp = F.size(F.array_intersect(predicted, actual))
-    fp = F.size(F.array_except(predicted, actual))
-    fn = F.size(F.array_except(actual, predicted))
-    none = (F.size(predicted) == 0) & (F.size(actual) == 0)
-    precision = F.when(none, 1.0).otherwise(ratio(tp.cast("double"), (tp + fp).cast("double")))
-    recall = F.when(F.size(actual) == 0, 1.0).otherwise(ratio(tp.cast("double"), (tp + fn).cast("double")))
+    none = (predicted == 0) & (actual == 0)
+    precision = F.when(none, 1.0).otherwise(ratio(tp.cast("double"), predicted.cast("double")))
+    recall = F.when(actual == 0, 1.0).otherwise(ratio(tp.cast("double"), actual.cast("double")))
     f05 = F.when(none, 1.0).otherwise(f_beta(precision, recall))
-    return {"tp": tp, "fp": fp, "fn": fn, "precision": precision, "recall": recall, "f05": f05}
+    return {"tp": tp, "fp": predicted - tp, "fn": actual - tp, "precision": precision, "recall": recall, "f05": f05}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.functions.metrics import entity_scores, f_beta, ratio
+from rillwork.functions.metrics import count_scores, f_beta, ratio
 from rillwork.operators.blocking import PAIR
 
 
@@ -19,13 +19,19 @@ def entity_f05(entities: DataFrame, predicted: DataFrame, truth: DataFrame) -> D
     empty = F.array().cast("array<string>")
     rows = ids.join(_sets(predicted, "predicted"), PAIR[0], "left").join(_sets(truth, "actual"), PAIR[0], "left")
     rows = rows.select(PAIR[0], F.coalesce("predicted", empty).alias("predicted"), F.coalesce("actual", empty).alias("actual"))
-    s = entity_scores(F.col("predicted"), F.col("actual"))
-    return rows.select(
+    tp = F.size(F.array_intersect("predicted", "actual"))
+    return entity_f05_of_counts(rows.select(PAIR[0], tp.alias("tp"), F.size("predicted").alias("n_predicted"), F.size("actual").alias("n_actual")))
+
+
+def entity_f05_of_counts(counts: DataFrame) -> DataFrame:
+    """``entity_f05`` from a row per entity with ``tp``, ``n_predicted`` and ``n_actual``; nulls count as 0. No pair has to travel for them."""
+    n = {c: F.coalesce(F.col(c).cast("long"), F.lit(0)) for c in ("tp", "n_predicted", "n_actual")}
+    s = count_scores(*n.values())
+    return counts.select(
         PAIR[0],
-        *(s[c].cast("long").alias(c) for c in ("tp", "fp", "fn")),
+        *(s[c].alias(c) for c in ("tp", "fp", "fn")),
         *(F.round(s[c], 6).alias(c) for c in ("precision", "recall", "f05")),
-        F.size("predicted").cast("long").alias("n_predicted"),
-        F.size("actual").cast("long").alias("n_actual"),
+        *(n[c].alias(c) for c in ("n_predicted", "n_actual")),
     )
 
 
